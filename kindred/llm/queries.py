@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import importlib
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +22,30 @@ def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree)}
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.quality import quality_report
+
+    return quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.substring import passage_report
+
+    return passage_report(_table(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.simhash import near_duplicate_classes
+
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op10_simhash_dedup)}
 
 ORACLES: dict[str, str] = {}
