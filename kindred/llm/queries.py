@@ -40,12 +40,24 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.langid import label_texts
+
+    return label_texts(_table(spark, sf_dir, "documents"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.ann import nearest_report
+
+    return nearest_report(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.simhash import near_duplicate_classes
 
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op8_language_id, op9_nearest_neighbours, op10_simhash_dedup)}
 
 ORACLES: dict[str, str] = {}
