@@ -40,6 +40,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.pii import report
+
+    return report(_table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.langid import label_texts
 
@@ -58,6 +64,6 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op8_language_id, op9_nearest_neighbours, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op6_pii_bootstrap, op8_language_id, op9_nearest_neighbours, op10_simhash_dedup)}
 
 ORACLES: dict[str, str] = {}
