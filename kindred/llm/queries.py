@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kindred.llm import oracles
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,6 +48,12 @@ def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(_table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.licenses import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.langid import label_texts
 
@@ -64,6 +72,6 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op6_pii_bootstrap, op8_language_id, op9_nearest_neighbours, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op6_pii_bootstrap, op7_license_scan, op8_language_id, op9_nearest_neighbours, op10_simhash_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_license_scan": oracles.license_scan()}
