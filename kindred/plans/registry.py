@@ -2,14 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from kindred.plans.oracles import oracles
+from kindred.plans.queries import queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
-
-
-def oracles() -> dict[str, str]:
-    return {}
+__all__ = ["oracles", "queries"]
