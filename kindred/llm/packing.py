@@ -21,7 +21,7 @@ _BLOCK = 64
 
 
 class Bins:
-    """Open sequences in order of their room, with conflict bitmaps."""
+    """Open sequences in order of their room (of equal ones the longest unchanged first), with conflict bitmaps."""
 
     def __init__(self, capacity: int, bits: int):
         self.capacity = capacity
@@ -59,7 +59,7 @@ class Bins:
         for bit in conflicts:
             self.maps[which, bit >> 6] |= np.uint64(1 << (bit & 63))
         if room > size:
-            to = int(np.searchsorted(self.room, room - size))
+            to = int(np.searchsorted(self.room, room - size, side="right"))
             self.room, self.order = np.insert(self.room, to, room - size), np.insert(self.order, to, which)
         return which, self.capacity - room
 
