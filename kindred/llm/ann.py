@@ -66,6 +66,14 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dim)
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances, squares added from the first dimension to the last as any engine would."""
+    total = np.zeros(len(vectors))
+    for column in ((vectors - query) ** 2).T:
+        total += column
+    return np.sqrt(total)
+
+
 def nearest_in_block(ids: np.ndarray, vectors: np.ndarray, codes: Codes, q_ids: np.ndarray, queries: np.ndarray, turned: np.ndarray, limit: np.ndarray, k: int, distinct: bool, epsilon: float = EPSILON) -> list[tuple[int, int, float]]:
     """(query, id, distance) of up to ``k`` nearest distinct ids; ``limit`` holds and gets the k-th distances."""
     out = []
@@ -78,7 +86,7 @@ def nearest_in_block(ids: np.ndarray, vectors: np.ndarray, codes: Codes, q_ids:
         near = np.flatnonzero(other & (low[i] <= cap))
         if not len(near):
             continue
-        exact = np.sqrt(((vectors[near] - queries[i]) ** 2).sum(axis=1))
+        exact = distances(vectors[near], queries[i])
         found = pd.DataFrame({"id": ids[near], "d": exact}).sort_values(["d", "id"]).drop_duplicates("id").head(k)
         out += [(q_id, int(a), float(b)) for a, b in zip(found["id"], found["d"])]
         if len(found) == k:

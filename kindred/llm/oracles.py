@@ -40,3 +40,59 @@ best AS (
 SELECT d.doc_id, b.license, b.dice, coalesce(b.n_matches, 0) AS n_matches, coalesce(b.licenses, '') AS licenses
 FROM documents d LEFT JOIN best b USING (doc_id)
 """
+
+
+def nearest_neighbours() -> str:
+    usable = "len(v) = (SELECT len(embedding) FROM embeddings WHERE len(embedding) > 0 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0"
+    square = "list_transform(range(1, len(q.v) + 1), lambda i: (c.v[i] - q.v[i]) * (c.v[i] - q.v[i]))"
+    return f"""
+WITH e AS (SELECT * FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL) WHERE {usable}),
+q AS (SELECT vec_id, min(v) AS v FROM e WHERE vec_id % 100 = 0 GROUP BY vec_id),
+d AS (SELECT q.vec_id AS query_id, c.vec_id, min(sqrt(list_reduce({square}, lambda a, b: a + b))) AS score FROM q JOIN e c ON c.vec_id <> q.vec_id GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS k FROM d)
+SELECT query_id, CAST(k AS INT) AS rank, vec_id, score FROM r WHERE k <= 10
+"""
+
+
+def quality_rules() -> str:
+    """The counts, and the cutoffs by the same risk control: sums of binomial terms, tested in order."""
+    from kindred.llm.quality import ALPHA, DELTA, GRID, LEAST_WORDS, REPEAT_PERCENT, RULES
+
+    step = lambda a, b: f"CAST(least(ceil({a} * {GRID} / CAST(greatest({b}, 1) AS DOUBLE)), {GRID + 1}) AS INT)"
+    alpha = ALPHA / len(RULES)
+    blank = "[\\x09-\\x0D ]"
+    term = f"exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({alpha!r}) + (n - i) * ln(1 - {alpha!r}))"
+    steps = {"repeats": step("n_repeat_words", "n_words"), "symbols": step("n_symbols", "n_words"), "dup_lines": step("n_dup_lines", "n_lines"), "capitals": step("n_capitals", "n_letters")}
+    melt = " UNION ALL ".join(f"SELECT stratum, good, '{r}' AS rule, {r} AS step FROM held" for r in RULES)
+    limits = ", ".join(f"min(cutoff) FILTER (WHERE rule = '{r}') AS {r}" for r in RULES)
+    rejected = " OR ".join(f"f.{r} > coalesce(c.{r}, {GRID + 1})" for r in RULES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, list_filter(string_split_regex(text, '{blank}+'), lambda x: x <> '') AS w FROM d),
+win AS (SELECT rid, i, w[i:i + 2] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) o(k) GROUP BY rid),
+line AS (SELECT rid, l FROM (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x09-\x0D ]')),
+lines AS (SELECT rid, count(*) AS n, count(*) - count(DISTINCT l) AS dup FROM line GROUP BY rid),
+base AS (
+  SELECT d.rid, doc_id, stratum, len(w) AS n_words, length(regexp_replace(text, '{blank}', '', 'g')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+    coalesce(lines.n, 0) AS n_lines, length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals, length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters
+  FROM d JOIN w USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN lines USING (rid)
+),
+f AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed, {", ".join(f"{v} AS {k}" for k, v in steps.items())} FROM base),
+verdict AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT stratum, good, {", ".join(RULES)} FROM f JOIN verdict USING (doc_id) WHERE NOT base_failed),
+tests AS (SELECT count(DISTINCT stratum) * {len(RULES)} AS t FROM held),
+melted AS ({melt}),
+tried AS (
+  SELECT stratum, rule, c AS cutoff, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND step > c) AS k, count(*) FILTER (WHERE NOT good AND step > c) AS caught
+  FROM melted, range(1, {GRID + 1}) x(c) GROUP BY ALL
+),
+tail AS (SELECT *, CASE WHEN n = 0 THEN 2.0 WHEN k >= n THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i: {term})) END AS p FROM tried),
+passed AS (SELECT * FROM (SELECT *, bool_and(p <= {DELTA!r} / (SELECT t FROM tests)) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) AS ok FROM tail) WHERE ok),
+chosen AS (SELECT stratum, rule, max(cutoff) FILTER (WHERE caught = most) AS cutoff FROM (SELECT *, max(caught) OVER (PARTITION BY stratum, rule) AS most FROM passed) GROUP BY ALL),
+c AS (SELECT stratum, {limits} FROM chosen GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, CASE WHEN n_words = 0 THEN 0 ELSE n_symbols END AS n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {rejected}) AS kept
+FROM f LEFT JOIN c USING (stratum)
+"""

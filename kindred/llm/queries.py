@@ -74,4 +74,8 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_rules, op4_substring_dedup, op5_best_fit_packing, op6_pii_bootstrap, op7_license_scan, op8_language_id, op9_nearest_neighbours, op10_simhash_dedup)}
 
-ORACLES: dict[str, str] = {"op7_license_scan": oracles.license_scan()}
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": oracles.quality_rules(),
+    "op7_license_scan": oracles.license_scan(),
+    "op9_nearest_neighbours": oracles.nearest_neighbours(),
+}
