@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.common import new_dir, shuffle_partitions, stage
-from kindred.llm.tokens import byte_encoder
+from kindred.llm.tokens import batches_of, byte_encoder
 
 MAGIC = b"KTOKPF1\n"
 BLOCK = 128
@@ -206,7 +206,8 @@ def write_token_files(docs: DataFrame, where: str, tokenizer: str, shards: int,
     is an empty one and repeated rows are each written.  ``end_id`` follows every document.
     A task writes its file under an attempt's name and moves it when complete, so a task that
     runs again after its executor was lost replaces the file with the same bytes.
-    Memory per task: one Arrow batch of texts, ``RUN`` ids and 25 bytes a document.
+    Memory per task: one Arrow batch of texts, the ids of ``BATCH_BYTES`` of them, ``RUN`` ids
+    and 25 bytes a document.
     """
     order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -219,10 +220,10 @@ def write_token_files(docs: DataFrame, where: str, tokenizer: str, shards: int,
         out, encoder = None, byte_encoder(tokenizer)
         for batch in batches:
             out = out or ShardWriter(where, name, str(context.taskAttemptId()))
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(texts), 256):
-                for doc_id, raw in zip(ids[i : i + 256], encoder.encode(texts[i : i + 256])):
-                    out.add(doc_id, np.append(np.frombuffer(raw, "<u4"), np.uint32(end_id)))
+            doc_ids = batch.column(0).to_pylist()
+            for at, texts in batches_of(batch.column(1)):
+                for k, ids in enumerate(encoder.encode(texts)):
+                    out.add(doc_ids[at + k], np.append(ids, np.uint32(end_id)))
         if out:
             yield pa.RecordBatch.from_pylist([dict(zip(("shard", "file", "n_docs", "n_tokens", "n_blocks", "n_bytes"), (shard, name, *out.close())))], schema=_manifest_schema())
 

@@ -1,84 +1,118 @@
-"""Exact whole-text encoding with the tokenizers library, one distinct piece at a time.
+"""Exact whole-text encoding with the tokenizers library, one distinct unit at a time.
 
 A byte-level tokenizer cuts text into pieces by a fixed pattern and merges inside pieces
-only.  Cutting by the same pattern and encoding each distinct piece once per worker gives
-the library's ids of the whole text.  Texts with an added token's string, or with
-characters beyond the Latin blocks (on whose classes two Unicode versions might differ),
-go to the library whole.
+only.  A piece always starts at a lone space or newline between two visible characters, so
+encoding the distinct units between such cuts once a batch and gathering their ids gives the
+library's ids of the whole text.  Other texts go to the library whole: those with other white
+space, with an added token's string, or with characters beyond the Latin blocks, on whose
+classes two Unicode versions might differ.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces that a worker remembers; beyond it the memory is emptied, which costs time only.
-MEMORY_PIECES = 1_000_000
-#: Pieces of this many characters or more are not remembered.
-LONG_PIECE = 64
+#: Bytes of text that are cut and gathered at a time (one larger text goes alone).
+BATCH_BYTES = 16_000_000
+#: Units encoded side by side in one string.
+BESIDE = 256
 
-_BEYOND_LATIN = re.compile("[^\x00-ɏ]")
+_IRREGULAR = r"[ \n][ \n]|^[ \n]|[ \n]$|[\x{0}\t\r\x{b}\x{c}\x{85}\x{a0}]|[^\x{0}-\x{24f}]"
+
+
+def batches_of(column: pa.Array, most: int = BATCH_BYTES):
+    """(first row, rows) runs of a string column with at most ``most`` bytes, one row at least."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+    start, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and held + n > most:
+            yield start, column.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, column.slice(start)
+
+
+def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The runs ``values[starts[c] : starts[c] + counts[c]]`` for each of ``codes``, joined."""
+    n = counts[codes]
+    ends = np.cumsum(n)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - n), n)]
+
+
+def without_memory(path: str, **changes):
+    """The tokenizer of a file, its model's word cache off (each distinct unit comes once) and parts changed."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer, models
+
+    spec = json.loads(Tokenizer.from_file(path).to_str()) | changes
+    tok = Tokenizer.from_str(json.dumps(spec))
+    options = {k: v for k, v in spec["model"].items() if k not in ("type", "vocab", "merges") and v is not None}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+    tok.model = models.BPE(vocab=spec["model"]["vocab"], merges=merges, cache_capacity=0, **options)
+    return tok
 
 
 class ByteEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Ids of whole texts as unsigned 32-bit arrays."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.tok = without_memory(path)
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.irregular = "|".join([_IRREGULAR, *map(re.escape, added)])
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.lengths = np.array([len(self.tok.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces.  Pieces like `` word`` are encoded side by side in one string;
-        the byte lengths of the ids tell where each piece ends."""
-        got: dict[str, bytes] = {}
-        beside = [u for u in pieces if u[0] == " " and u[1:].isalpha()]
-        alone = [u for u in pieces if not (u[0] == " " and u[1:].isalpha())]
-        groups = [beside[i : i + 256] for i in range(0, len(beside), 256)]
-        for group, ids in zip(groups, self._library(["".join(g) for g in groups])):
-            ends = np.cumsum(self.lengths[ids])
-            at = np.searchsorted(ends, np.cumsum([len(u.encode()) for u in group]))
-            raw, start = ids.tobytes(), 0
-            for piece, stop in zip(group, ((at + 1) * 4).tolist()):
-                got[piece] = raw[start:stop]
-                start = stop
-        for i in range(0, len(alone), 256):
-            part = alone[i : i + 256]
-            got.update(zip(part, (x.tobytes() for x in self._library(part))))
-        return got
-
-    def _plain(self, text: str) -> bool:
-        return not _BEYOND_LATIN.search(text) and not any(a in text for a in self.added)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self._plain(t)]
-        cut = [self.pieces(texts[i]) for i in plain]
-        if len(self.known) > MEMORY_PIECES:
-            self.known.clear()
-        new = set().union(*cut).difference(self.known)
-        extra = self._learn(list(new)) if new else {}
-        long = {u: extra.pop(u) for u in [u for u in extra if len(u) >= LONG_PIECE]}
-        self.known.update(extra)
-        known = self.known
-        look = (lambda u: long[u] if u in long else known[u]) if long else known.__getitem__
-        for i, pieces in zip(plain, cut):
-            out[i] = b"".join(map(look, pieces))
-        for i, ids in enumerate(out):
-            if ids is None:
-                out[i] = self._library([texts[i]])[0].tobytes()
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct units, and where each unit's ids start and how many they are.
+
+        A unit stands for itself with a space before it, unless it starts with a newline or,
+        as a text's first unit, with a zero byte.  All but the first units are encoded side by
+        side; the byte lengths of the ids tell where each ends.
+        """
+        beside = [i for i, u in enumerate(units) if u[0] != "\0"]
+        whole = [u if u[0] == "\n" else " " + u for u in map(units.__getitem__, beside)]
+        runs = self._library(["".join(whole[i : i + BESIDE]) for i in range(0, len(whole), BESIDE)])
+        alone = [i for i, u in enumerate(units) if u[0] == "\0"]
+        single = self._library([units[i][1:] for i in alone])
+        ids = np.concatenate([*runs, *single, np.empty(0, np.uint32)])
+        starts, counts = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        joint = sum(map(len, runs))
+        size = np.asarray(pc.binary_length(pa.array(whole, pa.string())), dtype=np.int64)
+        ends = np.searchsorted(np.cumsum(self.lengths[ids[:joint]]), np.cumsum(size)) + 1
+        starts[beside] = np.append(0, ends[:-1])[: len(beside)]
+        counts[beside] = ends - starts[beside]
+        counts[alone] = [len(x) for x in single]
+        starts[alone] = joint + np.cumsum(counts[alone]) - counts[alone]
+        return ids, starts, counts
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string array without nulls."""
+        out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        odd = np.asarray(pc.match_substring_regex(texts, self.irregular)) | (np.asarray(pc.binary_length(texts)) == 0)
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = self._library([texts[i].as_py()])[0]
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            marked = pc.binary_join_element_wise("\0", pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), "")
+            cut = pc.split_pattern(marked, " ")
+            coded = cut.flatten().dictionary_encode()
+            codes = np.asarray(coded.indices)
+            ids, starts, counts = self._units(coded.dictionary.to_pylist())
+            all_ids = gather(ids, starts, counts, codes)
+            ends = np.append(0, np.cumsum(counts[codes]))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(cut))))]
+            for k, i in enumerate(plain.tolist()):
+                out[i] = all_ids[ends[k] : ends[k + 1]]
         return out
 
 
