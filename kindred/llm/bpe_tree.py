@@ -10,26 +10,26 @@ their joint text is the encoding of the whole, so the agreement makes the join e
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import shuffle_partitions, stage
+from kindred.llm.tokens import batches_of, gather, without_memory
 
 #: Symbols (bytes) of a leaf; pieces of more than two leaves go through the tree.
 LEAF = 4096
 #: Ids by which a window must agree with either side, and ids a side in the first window.
 AGREE, WINDOW = 4, 16
-#: Words that a worker remembers; beyond it the memory is emptied, which costs time only.
-MEMORY_WORDS = 600_000
-LONG_WORD = 64
+#: Words encoded side by side in one string.
+BESIDE = 256
 
 _SPACES = re.compile("[\t-\r ]+")
 
@@ -45,27 +45,62 @@ class WordBPE:
         self.tok.no_padding()
         self.added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.split_added = re.compile("(" + "|".join(sorted(map(re.escape, self.added), key=len, reverse=True)) + ")") if self.added else None
-        spec = json.loads(self.tok.to_str())
-        spec.update(normalizer=None, added_tokens=[], truncation=None, padding=None)
-        self.suffix = spec["model"].get("end_of_word_suffix") or ""
-        self.bare = Tokenizer.from_str(json.dumps(spec))
+        # the same pieces and model for normalised words, where an added token's string is plain text
+        self.bare = without_memory(path, normalizer=None, added_tokens=[], truncation=None, padding=None)
         self.model = self.bare.model
-        self.known: dict[str, bytes] = {}
+        self.suffix = self.model.end_of_word_suffix or ""
+        size = self.tok.get_vocab_size(with_added_tokens=False)
+        self.lengths = np.array([len((self.bare.id_to_token(i) or "").removesuffix(self.suffix)) for i in range(size)], dtype=np.int64)
 
     def normalised(self, text: str) -> str:
         if text.isascii():
             return _SPACES.sub(" ", text).lower()
         return self.tok.normalizer.normalize_str(text)
 
-    def words(self, texts: list[str]) -> list[bytes]:
-        """Ids of normalised words without white space, each encoded by the library."""
-        if len(self.known) > MEMORY_WORDS:
-            self.known.clear()
-        new = list({w for w in texts if w not in self.known})
-        found = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.bare.encode_batch_fast(new, add_special_tokens=False)))) if new else {}
-        out = [self.known.get(w) if w in self.known else found[w] for w in texts]
-        self.known.update((w, ids) for w, ids in found.items() if len(w) < LONG_WORD)
-        return out
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words without white space, and where each word's start and how many they are.
+
+        White space always ends a piece, so words are encoded side by side; the byte lengths of
+        the ids tell where each ends.
+        """
+        joined = [" ".join(words[i : i + BESIDE]) for i in range(0, len(words), BESIDE)]
+        runs = [np.array(e.ids, dtype=np.uint32) for e in self.bare.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate([*runs, np.empty(0, np.uint32)])
+        size = np.asarray(pc.binary_length(pa.array(words, pa.string())), dtype=np.int64)
+        reached = np.append(0, np.cumsum(self.lengths[ids]))
+        ends = np.searchsorted(reached, np.cumsum(size))
+        starts = np.append(0, ends[:-1])[: len(words)]
+        return ids, starts, np.where(size > 0, ends - starts, 0)
+
+    def _ids(self, words: list[str]) -> bytes:
+        return self.words([w for w in words if w])[0].astype("<u4").tobytes()
+
+    def encode(self, texts: list[str], limit: int) -> list[bytes | list[bytes | str]]:
+        """Each text's ids as bytes; or its parts, if it has a piece of over ``limit`` symbols."""
+        out: list = [b""] * len(texts)
+        plain, clean = [], []
+        for i, text in enumerate(texts):
+            if self.split_added and self.split_added.search(text):
+                out[i] = self.parts(text, limit)
+            else:
+                plain.append(i)
+                clean.append(self.normalised(text))
+        cut = pc.split_pattern(pa.array(clean, pa.string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        words, codes = coded.dictionary, np.asarray(coded.indices)
+        ends = np.append(0, np.cumsum(np.asarray(pc.list_value_length(cut), dtype=np.int64)))
+        large = np.asarray(pc.binary_length(words)) > limit
+        if large.any():
+            words = pc.if_else(pa.array(large), "", words)
+        ids, starts, counts = self.words(words.to_pylist())
+        all_ids = gather(ids, starts, counts, codes).astype("<u4")
+        at = np.append(0, np.cumsum(counts[codes]))[ends]
+        for k, i in enumerate(plain):
+            if large.any() and large[codes[ends[k] : ends[k + 1]]].any():
+                out[i] = self.parts(texts[i], limit)
+            else:
+                out[i] = all_ids[at[k] : at[k + 1]].tobytes()
+        return [b"".join(x) if isinstance(x, list) and not any(isinstance(p, str) for p in x) else x for x in out]
 
     def symbols(self, symbols: str) -> tuple[list[int], list[int]]:
         """Ids of one piece, given as byte-level symbols, and their lengths in symbols."""
@@ -84,20 +119,19 @@ class WordBPE:
             words = self.normalised(segment).split(" ")
             small: list[str] = []
             for word in words:
-                if len(word) * 4 <= limit:
-                    if word:
-                        small.append(word)
+                if len(word.encode("utf-8")) <= limit:
+                    small.append(word)
                     continue
                 for symbols, _ in self.bare.pre_tokenizer.pre_tokenize_str(word):
                     if len(symbols) <= limit:
-                        out.append(b"".join(self.words(small)))
+                        out.append(self._ids(small))
                         small = []
                         out.append(np.array(self.symbols(symbols)[0], "<u4").tobytes())
                     else:
-                        out.append(b"".join(self.words(small)))
+                        out.append(self._ids(small))
                         small = []
                         out.append(symbols)
-            out.append(b"".join(self.words(small)))
+            out.append(self._ids(small))
         return out
 
     def join(self, left: tuple[list[int], list[int]], right: tuple[list[int], list[int]], symbols: str) -> tuple[list[int], list[int]]:
@@ -170,17 +204,16 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     def encode(batches):
         bpe, key = word_bpe(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
-            all_docs, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(all_texts), 256):
+            doc_ids = batch.column(0).to_pylist()
+            for at, texts in batches_of(batch.column(1)):
                 out, done, done_docs = [], [], []
-                for doc_id, text in zip(all_docs[at : at + 256], all_texts[at : at + 256]):
-                    parts = bpe.parts(text, limit)
+                for doc_id, found in zip(doc_ids[at:], bpe.encode(texts.to_pylist(), limit)):
                     key += 1
-                    if not any(isinstance(p, str) for p in parts):
-                        done.append(b"".join(parts))
+                    if isinstance(found, bytes):
+                        done.append(found)
                         done_docs.append(doc_id)
                         continue
-                    for k, part in enumerate(parts):
+                    for k, part in enumerate(found):
                         if isinstance(part, str):
                             out += [(doc_id, key, k, i, s, None, None, None, None) for i, s in enumerate(_cut(part, leaf))]
                         else:
