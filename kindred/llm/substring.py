@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.llm.common import fresh, stage
+from kindred.llm.common import fresh, stage, unstage
 
 #: Words in a unit at least; after them one word in CUT_EVERY ends the unit.
 UNIT_WORDS, CUT_EVERY = 4, 4
@@ -143,9 +143,10 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Repeats within a text go too.  An empty table gives no row.
     """
     key, hash_, marks, original = fresh(docs, "__id", "__h", "__marks", "__original")
-    repeats = repeated_units(stage(units(docs, id_col, text_col), "units"))
-    by_doc = repeats.distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("unit", "words")).alias(marks))
-    by_doc = by_doc.withColumnsRenamed({"doc_id": key + "_", "h": hash_ + "_"})
+    found = stage(units(docs, id_col, text_col), "units")
+    by_doc = repeated_units(found).groupBy("doc_id", "h").agg(F.array_distinct(F.collect_list(F.struct("unit", "words"))).alias(marks))
+    by_doc = stage(by_doc.withColumnsRenamed({"doc_id": key + "_", "h": hash_ + "_"}), "repeats")
+    unstage(found)
     keyed = docs.withColumns({key: F.col(id_col).cast("long"), hash_: F.hash(text_col)})
     joined = keyed.join(by_doc, keyed[key].eqNullSafe(by_doc[key + "_"]) & (keyed[hash_] == by_doc[hash_ + "_"]), "left")
     joined = joined.select(*docs.columns, F.col(marks).getField("unit").alias(key), F.col(marks).getField("words").alias(hash_))
