@@ -51,9 +51,9 @@ def proportional_sample(rows: DataFrame, part: str, ids: list[str], most: int) -
     Parts are ranked by range of hash within salted groups, so a part may hold any number of rows.
     """
     sizes = rows.groupBy(part).agg(F.count("*").alias("__n"))
-    total = sizes.agg(F.sum("__n").alias("__total"))
-    quota = F.least(F.col("__n"), F.greatest(F.lit(1), F.round(F.least(F.col("__total"), F.lit(most)) * F.col("__n") / F.col("__total")).cast("long")))
-    sizes = sizes.join(F.broadcast(total)).withColumn("__quota", quota)
+    total = rows.count()
+    quota = F.least(F.col("__n"), F.greatest(F.lit(1), F.round(F.lit(min(total, most)) * F.col("__n") / max(total, 1)).cast("long")))
+    sizes = sizes.withColumn("__quota", quota)
     keyed = rows.join(sizes.select(part, "__quota"), part).withColumn("__b", bucket(*ids))
     by_slot = keyed.withColumn("__slot", F.shiftright("__b", 22))
     counts = by_slot.groupBy(part, "__slot").agg(F.count("*").alias("__c"))

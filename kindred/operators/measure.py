@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import keys as K
@@ -105,12 +105,14 @@ def threshold_table(scored: DataFrame) -> DataFrame:
     Rows are counted by the last threshold they reach, so the sweep sums 92 counts instead of
     meeting every row with every threshold.
     """
-    step = F.least(F.greatest(F.floor((F.col("score") - 0.05) * 100 + 1e-9) + 1, F.lit(0)), F.lit(THRESHOLDS)).cast("int")
-    counts = scored.groupBy(step.alias("reached")).agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
-    grid = scored.sparkSession.range(THRESHOLDS).select(F.col("id").cast("int").alias("step"))
-    met = grid.join(F.broadcast(counts), F.col("reached") > F.col("step"), "left").groupBy("step").agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("tp"), F.coalesce(F.sum("neg"), F.lit(0)).alias("fp"))
-    all_ = counts.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"))
-    table = met.join(F.broadcast(all_)).withColumn("fn", F.col("positives") - F.col("tp")).drop("positives")
+    step = F.least(F.floor((F.col("score") - 0.05) * 100 + 1e-9), F.lit(THRESHOLDS - 1)).cast("int")
+    reached = F.greatest(step, F.lit(-1))  # -1: below the first threshold
+    counts = scored.groupBy(reached.alias("step")).agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+    grid = scored.sparkSession.range(-1, THRESHOLDS).select(F.col("id").cast("int").alias("step"))
+    table = grid.join(counts, "step", "left").na.fill(0)
+    above = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)  # 92 rows, whatever the input
+    below = Window.orderBy(F.desc("step")).rowsBetween(1, Window.unboundedFollowing)
+    table = table.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above), "fn": F.coalesce(F.sum("pos").over(below), F.lit(0))}).filter("step >= 0")
     table = table.withColumns({"precision": share(F.col("tp"), F.col("tp") + F.col("fp")), "recall": share(F.col("tp"), F.col("tp") + F.col("fn"))})
     return table.select("step", (F.lit(0.05) + F.col("step") / 100).alias("threshold"), "tp", "fp", "fn", "precision", "recall", f_half(F.col("precision"), F.col("recall")).alias("f05"))
 

@@ -36,8 +36,11 @@ def write_stage(df: DataFrame, path: str, rebuild: bool = False) -> None:
 
 
 def write_result_lists(lists: DataFrame, path: str) -> None:
-    """One TSV file with a header and unquoted, possibly empty, comma-joined lists."""
-    lists.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("nullValue", "").csv(path)
+    """One TSV file with a header and unquoted, possibly empty, comma-joined lists.
+
+    The rows meet in one task only to be written; what makes them stays parallel.
+    """
+    lists.repartition(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("nullValue", "").csv(path)
 
 
 def read_result_lists(spark: SparkSession, path: str, ids: str = "matched_entity_ids") -> DataFrame:
