@@ -52,7 +52,9 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     for w in np.unique(width).tolist():
         if w:
             rows = np.flatnonzero(width == w)
-            bits = np.unpackbits(off[rows].astype("<u4").view(np.uint8).reshape(len(rows), BLOCK, 4), axis=2, bitorder="little")
+            size = 2 if w <= 16 else 4
+            plain = off[rows].astype(f"<u{size}").view(np.uint8).reshape(len(rows), BLOCK, size)
+            bits = np.unpackbits(plain, axis=2, bitorder="little")
             raw = np.packbits(bits[:, :, :w].reshape(len(rows), BLOCK * w), axis=1, bitorder="little").tobytes()
             size = BLOCK * w // 8
             for k, r in enumerate(rows.tolist()):
@@ -84,10 +86,12 @@ def decode_blocks(raw: bytes, starts: list[int]) -> np.ndarray:
         if w:
             rows = np.flatnonzero(width == w)
             size = BLOCK * w // 8
-            body = np.frombuffer(b"".join(raw[starts[r] + 6 : starts[r] + 6 + size] for r in rows.tolist()), np.uint8)
-            bits = np.zeros((len(rows), BLOCK, 32), dtype=np.uint8)
-            bits[:, :, :w] = np.unpackbits(body.reshape(len(rows), size), axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-            off[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u4").reshape(len(rows), BLOCK)
+            body = np.zeros((len(rows), size + 8), dtype=np.uint8)
+            body[:, :size] = np.frombuffer(b"".join(raw[starts[r] + 6 : starts[r] + 6 + size] for r in rows.tolist()), np.uint8).reshape(-1, size)
+            # eight bytes from every byte on: an id and the bits before it in its first byte
+            words = np.ndarray((len(rows), size), "<u8", body, strides=(size + 8, 1))
+            bit = np.arange(BLOCK) * w
+            off[rows] = (words[:, bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << w) - 1)
     if row:
         r, p = np.concatenate(row), np.concatenate(pos)
         off[r, p] |= (np.concatenate(high).astype(np.uint64) << width[r].astype(np.uint64)).astype(np.uint32)

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut and gathered at a time (one larger text goes alone).
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 24_000_000
 #: Units encoded side by side in one string.
 BESIDE = 256
 
