@@ -69,8 +69,8 @@ def quality_rules() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, list_filter(string_split_regex(text, '{blank}+'), lambda x: x <> '') AS w FROM d),
-win AS (SELECT rid, i, w[i:i + 2] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
-twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+win AS (SELECT rid, unnest(range(1, len(w) - 1)) AS i, unnest(w[1:len(w) - 2]) AS x, unnest(w[2:len(w) - 1]) AS y, unnest(w[3:len(w)]) AS z FROM w WHERE len(w) > 2),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, x, y, z) AS c FROM win) WHERE c > 1),
 rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) o(k) GROUP BY rid),
 line AS (SELECT rid, l FROM (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x09-\x0D ]')),
 lines AS (SELECT rid, count(*) AS n, count(*) - count(DISTINCT l) AS dup FROM line GROUP BY rid),
@@ -96,3 +96,73 @@ c AS (SELECT stratum, {limits} FROM chosen GROUP BY stratum)
 SELECT doc_id, n_words, word_chars, CASE WHEN n_words = 0 THEN 0 ELSE n_symbols END AS n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {rejected}) AS kept
 FROM f LEFT JOIN c USING (stratum)
 """
+
+
+def personal_data() -> str:
+    """Base spans from plain patterns, and the contextual search with its rounds unrolled."""
+    from kindred.llm.pii import CONFIDENCE, CONTEXT, KINDS, ROUNDS, SUPPORT
+
+    blank, ink = "[ \\t\\n\\x0B\\f\\r]", "[^ \\t\\n\\x0B\\f\\r]"
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[ -]?[0-9])+",
+        "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    }
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN (length({digits}) - i) % 2 = 0 THEN CAST({digits}[i] AS INT) ELSE (2 * CAST({digits}[i] AS INT)) % 10 + CAST(CAST({digits}[i] AS INT) >= 5 AS INT) END)) % 10 = 0"
+    valid = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(nullif(ltrim(p, '0'), '') AS BIGINT), 0) > 255)) = 0",
+        "card": f"length({digits}) BETWEEN 12 AND 19 AND {luhn}",
+        "phone": f"length({digits}) BETWEEN 9 AND 15",
+    }
+
+    def found(name: str, pattern: str, extra: str) -> str:
+        return f"""
+{name}_l AS (SELECT rid, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM d),
+{name}_u AS (SELECT rid, unnest(m) AS value, unnest(g[1:len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS i FROM {name}_l),
+{name}_e AS (SELECT rid, value, CAST(sum(length(value) + length(gap)) OVER (PARTITION BY rid ORDER BY i) AS INT) AS stop FROM {name}_u),
+{name} AS (SELECT rid, stop - length(value) AS start, stop, value{extra} FROM {name}_e)"""
+
+    bases = ",".join(found(k, patterns[k], f", {r} AS rank, '{k}' AS kind") for r, k in enumerate(KINDS))
+    base = " UNION ALL ".join(f"SELECT * FROM {k} WHERE {valid[k]}" for k in KINDS)
+    at_least = "contains(value, '@') AND length(value) >= 5"
+    number = f"regexp_matches(value, '^[(]?[0-9][0-9()./:-]*$') AND length({digits}) >= 7"
+    words = f"regexp_replace(regexp_extract(lower(text[greatest(start + 1 - {CONTEXT}, 1):start]), '(?:^|{blank})({ink}+{blank}+{ink}+){blank}*$', 1), '{blank}+', ' ', 'g')"
+    rounds = "b0 AS (SELECT family, value, max(CAST(seed IS NOT NULL AS INT)) * 1.0 AS belief FROM graph GROUP BY ALL)"
+    for k in range(ROUNDS):
+        rounds += f""",
+t{k} AS (SELECT family, words, least(0.999, sum(n * belief) / max(total)) AS trust FROM graph JOIN b{k} USING (family, value) GROUP BY ALL),
+b{k + 1} AS (SELECT family, value, CASE WHEN max(seed) IS NOT NULL THEN 1.0 ELSE 1 - exp(sum(ln(1 - trust))) END AS belief FROM graph JOIN t{k} USING (family, words) GROUP BY ALL)"""
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in KINDS)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),{bases},
+base AS ({base}),{found("tok", ink + "+", "")},
+cut AS (SELECT rid, start, regexp_replace(value, '[.,;:!?)\\]]+$', '') AS value FROM tok WHERE regexp_matches(value, '[0-9@]')),
+free AS (SELECT rid, start, start + length(value) AS stop, value, CASE WHEN {at_least} THEN 'at' WHEN {number} THEN 'number' END AS family FROM cut),
+seen AS (
+  SELECT rid, start, stop, value, kind AS seed, CASE WHEN kind = 'email' THEN 'at' ELSE 'number' END AS family FROM base
+  UNION ALL
+  SELECT rid, start, stop, value, NULL, family FROM free f WHERE family IS NOT NULL AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = f.rid AND b.start < f.stop AND f.start < b.stop)
+),
+place AS (SELECT * FROM (SELECT s.*, {words} AS words FROM seen s JOIN d USING (rid)) WHERE words <> ''),
+edge AS (SELECT family, words, value, max(seed) AS seed, count(*) AS n FROM place GROUP BY ALL),
+kinds AS (SELECT family, words, seed, count(*) AS seeds FROM edge WHERE seed IS NOT NULL GROUP BY ALL),
+best AS (SELECT family, words, arg_max(seed, (seeds, seed)) AS kind FROM kinds GROUP BY ALL HAVING sum(seeds) >= {SUPPORT}),
+useful AS (SELECT * FROM best SEMI JOIN (SELECT family, words FROM edge WHERE seed IS NULL) USING (family, words)),
+lw AS (SELECT rid, list_filter(string_split_regex(lower(text), '{blank}+'), lambda w: w <> '') AS w FROM d),
+pair AS (SELECT a || ' ' || b AS words FROM (SELECT unnest(w[1:len(w) - 1]) AS a, unnest(w[2:len(w)]) AS b FROM lw WHERE len(w) > 1)),
+total AS (SELECT words, count(*) AS total FROM pair SEMI JOIN useful USING (words) GROUP BY words),
+graph AS (SELECT edge.*, kind, total FROM edge JOIN useful USING (family, words) JOIN total USING (words)),
+{rounds},
+sure AS (SELECT DISTINCT family, words, value, kind FROM graph JOIN t{ROUNDS - 1} USING (family, words) JOIN b{ROUNDS} USING (family, value) WHERE seed IS NULL AND trust >= {CONFIDENCE} AND belief >= {CONFIDENCE}),
+more AS (SELECT DISTINCT p.rid, p.start, p.stop, s.kind, list_position({list(KINDS)!r}, s.kind) - 1 AS rank FROM place p JOIN sure s USING (family, words, value) WHERE p.seed IS NULL),
+every AS (SELECT rid, start, stop, rank, kind FROM base UNION ALL SELECT rid, start, stop, rank, kind FROM more),
+b AS (SELECT rid, {counts}, {listed} AS l FROM base GROUP BY rid),
+e AS (SELECT rid, {listed} AS l FROM every GROUP BY rid),
+m AS (SELECT rid, count(*) AS n FROM more GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(b.l, '')) AS base_sha256, coalesce(e.l, '') AS spans, coalesce(m.n, 0) AS n_added
+FROM d LEFT JOIN b USING (rid) LEFT JOIN e USING (rid) LEFT JOIN m USING (rid)
+"""
