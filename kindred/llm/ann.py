@@ -21,8 +21,6 @@ from kindred.llm.common import stage
 K = 10
 #: Bound of the estimate's error in standard deviations.
 EPSILON = 4.0
-#: Vectors from which the centre is estimated (a smaller table is used whole).
-CENTRE_SAMPLE = 20_000
 #: Queries sent to the tasks at once; more go in further passes.
 QUERY_BLOCK = 4096
 #: Vectors encoded and searched at a time within a task.
@@ -112,15 +110,15 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     null, zero, empty, of an odd dimension or hold a null or non-finite value take no part, nor
     do null ids.  Rows of one id count as that id's nearest one, and a query with several
     vectors keeps the smallest.  Ties go to the smaller id.  Fewer candidates give fewer rows,
-    empty tables none.  The centre is the mean of CENTRE_SAMPLE vectors at most; it affects the
-    bounds' width, and every vector is coded against it.
+    empty tables none.  Codes are centred on the mean of all vectors.
     """
     spark = vectors.sparkSession
     rows, dim = usable(vectors, is_query, id_col, vec_col)
     nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not dim:
         return nothing
-    centre = _matrix(rows.select("v").limit(CENTRE_SAMPLE).toArrow().column(0), dim).mean(axis=0)
+    means = rows.select(F.posexplode("v").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("x")).collect()  # a row a dimension
+    centre = np.array([r["x"] for r in sorted(means, key=lambda r: r["at"])])
     turn = rotation(dim)
     queries = stage(rows.filter("is_query").groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     blocks = -(-queries.count() // QUERY_BLOCK)
