@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Learning texts a language at most and words of each (a bounded sample of the labelled rows).
 TRAIN_TEXTS, TRAIN_WORDS = 300, 120
+#: Languages learned at most, those with the most texts.
+TRAIN_LANGS = 1000
 #: Size of the hashed feature table, code points of a word that features see on either side.
 TABLE, REACH = 1 << 17, 12
 EPOCHS, RATE, DECAY = 4, 0.25, 1e-6
@@ -251,7 +253,7 @@ def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.substring_index("text", " ", 2 * TRAIN_WORDS).alias("text"))
     each = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), 2.0 * TRAIN_TEXTS / F.col("n"))
-    near = rows.join(F.broadcast(each.orderBy(F.desc("n"), "lang").limit(1000)), "lang")
+    near = rows.join(F.broadcast(each.orderBy(F.desc("n"), "lang").limit(TRAIN_LANGS)), "lang")
     near = near.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < share * (1 << 20))
     chosen = near.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "text"))), 1, TRAIN_TEXTS).alias("s"))
     return chosen.select("lang", F.explode("s.text").alias("text")).toPandas().sort_values(["lang", "text"], ignore_index=True)
@@ -264,7 +266,8 @@ def held_out(id_col: str) -> F.Column:
 def label_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every text.
 
-    Learns from at most TRAIN_TEXTS texts a language that are not held out and have a language;
+    Learns from at most TRAIN_TEXTS texts a language, and TRAIN_LANGS languages, that are not held
+    out and have a language;
     predicts from the text alone, all of it.  A null text, or one without a letter, is ``und``
     with score 0; so is every text if there is nothing to learn from.  Repeated rows are
     labelled each; a null id isn't held out; empty tables give no row.
