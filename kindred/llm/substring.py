@@ -1,7 +1,7 @@
 """Removal of repeated passages by hashing normalised units of lines.
 
-Lines are cut into short units at words that the content itself chooses, so a passage is cut
-alike wherever it stands in a line.  Digests of the normalised units are grouped over the
+Lines are cut into short units after words whose hash is the smallest of their neighbourhood,
+so a passage is cut alike wherever it stands in a line, but for a few words at its edges.  Digests of the normalised units are grouped over the
 whole table; the occurrence with the smallest (doc_id, text hash, unit) stays, and runs of
 later occurrences that hold enough words are removed.
 """
@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 from kindred.llm.common import fresh, stage, unstage
 
-#: Words in a unit at least; after them one word in CUT_EVERY ends the unit.
-UNIT_WORDS, CUT_EVERY = 4, 4
+#: Words on either side among which a word must have the smallest hash to end a unit.
+REACH = 3
+#: Repeats of one word after which a unit ends.
+SAME = 8
 #: Words that a run of repeated units must have to be removed.
 MIN_WORDS = 20
 _REMEMBERED = 500_000
@@ -27,45 +29,71 @@ _REMEMBERED = 500_000
 _WORD = re.compile(r"\S+")
 
 
-class _Cuts(dict):
-    """Whether a normalised word may end a unit."""
+class _Hashes(dict):
+    """Hashes of normalised words; emptied when it grows large."""
 
-    def __missing__(self, word: str) -> bool:
+    def __missing__(self, word: str) -> int:
         import xxhash
 
         if len(self) > _REMEMBERED:
             self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word) % CUT_EVERY == 0
+        found = self[word] = xxhash.xxh32_intdigest(word)
         return found
 
 
-_CUTS = _Cuts()
+_HASHES = _Hashes()
 
 
-def line_units(line: str) -> list[list[str]]:
-    """The normalised words of a line, unit by unit."""
-    words, out, start = line.lower().split(), [], 0
-    cuts = _CUTS
-    for i, word in enumerate(words):
-        if cuts[word] and i - start + 1 >= UNIT_WORDS:
-            out.append(words[start : i + 1])
-            start = i + 1
-    if start < len(words):
-        out.append(words[start:])
+def cut_lines(lines: list[list[str]]) -> list[list[list[str]]]:
+    """The units of each line's words.
+
+    A unit ends after a word whose hash is less than that of the REACH words before it and not
+    more than that of the REACH words after it, within the line; after every SAME repeats of
+    one word in a row; and at the line's end.
+    """
+    sizes = np.array([len(words) for words in lines], dtype=np.int64)
+    starts = np.cumsum(sizes + REACH) - sizes  # REACH blanks before each line
+    flat = np.full(int(sizes.sum()) + REACH * (len(lines) + 1), np.iinfo(np.int64).max)
+    if sizes.sum():
+        at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        flat[at] = np.fromiter((h for words in lines for h in map(_HASHES.__getitem__, words)), np.int64, len(at))
+    middle = flat[REACH : len(flat) - REACH]
+    ends = middle < np.iinfo(np.int64).max
+    for k in range(1, REACH + 1):
+        ends &= (middle < flat[REACH - k : len(flat) - REACH - k]) & (middle <= flat[REACH + k : len(flat) - REACH + k])
+    new = np.append(True, middle[1:] != middle[:-1])[: len(middle)]
+    place = np.arange(len(middle)) - np.maximum.accumulate(np.where(new, np.arange(len(middle)), 0))
+    ends |= (middle < np.iinfo(np.int64).max) & (place % SAME == SAME - 1)
+    where = np.flatnonzero(ends) + REACH
+    first = np.searchsorted(where, starts).tolist()
+    last = np.searchsorted(where, starts + sizes).tolist()
+    inner = where.tolist()
+    out = []
+    for words, start, a, b in zip(lines, starts.tolist(), first, last):
+        units, begin = [], 0
+        for stop in inner[a:b]:
+            units.append(words[begin : stop - start + 1])
+            begin = stop - start + 1
+        if begin < len(words):
+            units.append(words[begin:])
+        out.append(units)
     return out
 
 
-def text_units(text: str) -> list[list[str]]:
-    return [unit for line in text.split("\n") for unit in line_units(line)]
+def text_units(texts: list[str]) -> list[list[list[list[str]]]]:
+    """Units of each line of each text, as normalised words."""
+    split = [[line.lower().split() for line in text.split("\n")] for text in texts]
+    cut = iter(cut_lines([words for lines in split for words in lines]))
+    return [[next(cut) for _ in lines] for lines in split]
 
 
 def unit_spans(text: str) -> list[tuple[int, int]]:
     """Start and end (code points) of each unit, in the order of ``text_units``."""
     out, at = [], 0
-    for line in text.split("\n"):
+    for line, units in zip(text.split("\n"), text_units([text])[0]):
         words = [m.span() for m in _WORD.finditer(line)]
         k = 0
-        for unit in line_units(line):
+        for unit in units:
             out.append((at + words[k][0], at + words[k + len(unit) - 1][1]))
             k += len(unit)
         at += len(line) + 1
@@ -109,8 +137,8 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 digest, n, count = [], [], []
-                for text in part.column(2).to_pylist():
-                    found = text_units(text)
+                for lines in text_units(part.column(2).to_pylist()):
+                    found = [unit for line in lines for unit in line]
                     digest += [xxhash.xxh64_intdigest(" ".join(u)) for u in found]
                     n += map(len, found)
                     count.append(len(found))

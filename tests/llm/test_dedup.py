@@ -162,7 +162,7 @@ def test_repeats_by_brute_force(spark):
     got = {r.doc_id: [(c.start, c.end) for c in r.removed] for r in substring.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     seen = set()
     for i, text in rows:
-        units, spans = substring.text_units(text), substring.unit_spans(text)
+        units, spans = [u for line in substring.text_units([text])[0] for u in line], substring.unit_spans(text)
         assert [" ".join(u) for u in units] == [" ".join(text[a:b].lower().split()) for a, b in spans]
         old = []
         for k, u in enumerate(units):
@@ -173,6 +173,23 @@ def test_repeats_by_brute_force(spark):
         assert got[i] == [(spans[a][0], spans[b][1]) for a, b in runs]
 
 
+def test_cuts_by_definition():
+    import xxhash
+
+    rng = random.Random(7)
+    lines = [words(rng, rng.randrange(25)) for _ in range(60)] + [["x"] * 9 + ["y"] * 30, []]
+    for line, units in zip(lines, substring.cut_lines(lines)):
+        h = [xxhash.xxh32_intdigest(w) for w in line]
+        want, start = [], 0
+        for i in range(len(line)):
+            before, after = h[max(0, i - 3) : i], h[i + 1 : i + 4]
+            same = next((k for k in range(i) if h[i - k - 1] != h[i]), i)
+            if all(h[i] < x for x in before) and all(h[i] <= x for x in after) or same % 8 == 7 or i == len(line) - 1:
+                want.append(line[start : i + 1])
+                start = i + 1
+        assert units == want
+
+
 def test_report_columns(spark, sf_dir):
     found = substring.passage_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     assert found.columns == ["doc_id", "text", "n_removed", "removed_spans"]
