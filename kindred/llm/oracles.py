@@ -166,3 +166,35 @@ m AS (SELECT rid, count(*) AS n FROM more GROUP BY rid)
 SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(b.l, '')) AS base_sha256, coalesce(e.l, '') AS spans, coalesce(m.n, 0) AS n_added
 FROM d LEFT JOIN b USING (rid) LEFT JOIN e USING (rid) LEFT JOIN m USING (rid)
 """
+
+
+def passages() -> str:
+    """Units, first occurrences, runs and the cut texts, by window functions."""
+    from kindred.llm.substring import MIN_WORDS, REACH, SAME
+
+    earlier = " AND ".join(f"(hv < lag(hv, {k}) OVER line OR lag(hv, {k}) OVER line IS NULL)" for k in range(1, REACH + 1))
+    later = " AND ".join(f"(hv <= lead(hv, {k}) OVER line OR lead(hv, {k}) OVER line IS NULL)" for k in range(1, REACH + 1))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+ln AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(0, len(string_split(text, chr(10))))) AS li FROM d WHERE text <> ''),
+lo AS (SELECT *, sum(length(l) + 1) OVER (PARTITION BY rid ORDER BY li) - length(l) - 1 AS base FROM ln),
+ws AS (SELECT rid, doc_id, li, base, regexp_extract_all(l, '\\S+') AS m, string_split_regex(l, '\\S+') AS g FROM lo),
+wu AS (SELECT rid, doc_id, li, base, unnest(m) AS w, unnest(g[1:len(m)]) AS gap, unnest(range(0, len(m))) AS wi FROM ws WHERE len(m) > 0),
+wo AS (SELECT rid, doc_id, li, wi, lower(w) AS w, CAST('0x' || md5(lower(w))[1:8] AS BIGINT) AS hv,
+  CAST(base + sum(length(gap) + length(w)) OVER (PARTITION BY rid, li ORDER BY wi) AS BIGINT) AS stop, length(w) AS size FROM wu),
+wr AS (SELECT *, {earlier} AND {later} AS least, lead(wi) OVER line IS NULL AS last, coalesce(hv <> lag(hv) OVER line, true) AS fresh FROM wo WINDOW line AS (PARTITION BY rid, li ORDER BY wi)),
+wp AS (SELECT *, wi - max(CASE WHEN fresh THEN wi END) OVER (PARTITION BY rid, li ORDER BY wi) AS place FROM wr),
+wc AS (SELECT *, least OR last OR place % {SAME} = {SAME - 1} AS cut FROM wp),
+wn AS (SELECT *, coalesce(sum(CAST(cut AS INT)) OVER (PARTITION BY rid ORDER BY li, wi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS unit FROM wc),
+un AS (SELECT rid, doc_id, unit, string_agg(w, ' ' ORDER BY li, wi) AS u, count(*) AS words, min(stop - size) AS start, max(stop) AS stop FROM wn GROUP BY ALL),
+old AS (SELECT *, unit - row_number() OVER (PARTITION BY rid ORDER BY unit) AS run FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY doc_id, unit) AS nth FROM un) WHERE nth > 1),
+sp AS (SELECT rid, CAST(min(start) AS BIGINT) AS a, CAST(max(stop) AS BIGINT) AS b FROM old GROUP BY rid, run HAVING sum(words) >= {MIN_WORDS}),
+st AS (SELECT sp.*, text, a = 0 OR text[a] IN (' ', chr(10)) AS blank, a = 0 OR text[a] = chr(10) AS fresh FROM sp JOIN d USING (rid)),
+s1 AS (SELECT *, b + CAST(blank AND text[b + 1] = ' ' AS INT) AS e FROM st),
+s2 AS (SELECT *, e + CAST(fresh AND text[e + 1] = chr(10) AS INT) AS resume FROM s1),
+s3 AS (SELECT *, coalesce(lag(resume) OVER (PARTITION BY rid ORDER BY a), 0) AS since FROM s2),
+s4 AS (SELECT rid, a, b, resume, CASE WHEN text[b + 1] IN ('', chr(10)) THEN rtrim(text[since + 1:a], ' ' || chr(9)) ELSE text[since + 1:a] END AS piece FROM s3),
+cuts AS (SELECT rid, string_agg(piece, '' ORDER BY a) AS head, max(resume) AS resume, count(*) AS n, string_agg(a || ':' || b, ',' ORDER BY a) AS spans FROM s4 GROUP BY rid)
+SELECT doc_id, CASE WHEN n IS NULL THEN text ELSE head || text[resume + 1:length(text)] END AS text, coalesce(n, 0) AS n_removed, coalesce(spans, '') AS removed_spans
+FROM d LEFT JOIN cuts USING (rid)
+"""

@@ -76,6 +76,7 @@ QUERIES = {f.__name__: f for f in (op1_token_files, op2_bpe_tree, op3_quality_ru
 
 ORACLES: dict[str, str] = {
     "op3_quality_rules": oracles.quality_rules(),
+    "op4_substring_dedup": oracles.passages(),
     "op6_pii_bootstrap": oracles.personal_data(),
     "op7_license_scan": oracles.license_scan(),
     "op9_nearest_neighbours": oracles.nearest_neighbours(),

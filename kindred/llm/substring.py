@@ -8,6 +8,7 @@ later occurrences that hold enough words are removed.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -30,14 +31,12 @@ _WORD = re.compile(r"\S+")
 
 
 class _Hashes(dict):
-    """Hashes of normalised words; emptied when it grows large."""
+    """The first four bytes of normalised words' MD5; emptied when it grows large."""
 
     def __missing__(self, word: str) -> int:
-        import xxhash
-
         if len(self) > _REMEMBERED:
             self.clear()
-        found = self[word] = xxhash.xxh32_intdigest(word)
+        found = self[word] = int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big")
         return found
 
 
