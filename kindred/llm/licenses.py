@@ -2,13 +2,16 @@
 
 Units of a text are its lines, its paragraphs of several lines, and the whole.  A unit with n
 distinct bigrams can reach a coefficient t with a template of m only if m lies between
-t / (2 - t) * n and (2 - t) / t * n, so other templates are not compared.
+t / (2 - t) * n and (2 - t) / t * n, so other templates are not compared.  It must also share
+t / (2 - t) * m bigrams with the template, so it holds a word of any set of words that touches
+more than the rest; texts without a word of these sets are not cut in units at all.
 
 Everything is DataFrame and SQL expressions, without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +38,8 @@ TEMPLATES = (
     ("cc-by-nc-sa-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 )
+#: Words that say little about a text.
+COMMON = set("the and of to in or this is a be by for with you not under it that are at as any on use all".split())
 #: Least coefficient of a match.
 THRESHOLD = 0.8
 
@@ -48,6 +53,21 @@ def bigrams_of(text: str) -> set[str]:
     return {f"{a} {b}" for a, b in zip(words, words[1:])}
 
 
+def telling_words(templates, threshold: float) -> set[str]:
+    """Words of which a text must hold one to match any template: few and, where there is a choice, long ones."""
+    out: set[str] = set()
+    for _, text in templates:
+        pairs = [g.split(" ") for g in bigrams_of(text)]
+        touched, enough = set(), len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9) + 1
+        words = sorted({w for p in pairs for w in p}, key=lambda w: (w in COMMON, -sum(w in p for p in pairs), -len(w), w))
+        for word in words:
+            if len(touched) >= enough:
+                break
+            touched |= {i for i, p in enumerate(pairs) if word in p}
+            out.add(word)
+    return out
+
+
 def _bigrams(text: Column) -> Column:
     words = F.filter(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), lambda w: w != "")
     pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
@@ -72,7 +92,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     text = F.coalesce(F.col(text_col), F.lit(""))
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
     units = F.concat(F.split(text, "\n"), paragraphs, F.filter(F.array(text), lambda t: F.contains(t, F.lit("\n"))))
-    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.array_distinct(units).alias("units"))
+    tells = F.lower(text).rlike("(?<![a-z0-9])(?:" + "|".join(sorted(telling_words(templates, threshold))) + ")(?![a-z0-9])")
+    units = F.when(tells, F.array_distinct(units)).otherwise(F.array().cast("array<string>"))
+    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), units.alias("units"))
     sized = F.transform("units", lambda u: F.struct(_bigrams(u).alias("grams")))
     sized = F.filter(sized, lambda u: F.size(u["grams"]).between(low - 1e-9, high + 1e-9))
     shared = F.transform(sized, lambda u: F.struct(F.size(u["grams"]).alias("n"), F.array_intersect(u["grams"], known).alias("grams")))
