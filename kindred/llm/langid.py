@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Learning texts a language at most and words of each (a bounded sample of the labelled rows).
-TRAIN_TEXTS, TRAIN_WORDS = 300, 120
+#: Learning texts a language at most, and words and characters of each (a bounded sample of the labelled rows).
+TRAIN_TEXTS, TRAIN_WORDS, TRAIN_CHARS = 300, 120, 4000
 #: Languages learned at most, those with the most texts.
-TRAIN_LANGS = 1000
+TRAIN_LANGS = 200
 #: Size of the hashed feature table, code points of a word that features see on either side.
 TABLE, REACH = 1 << 17, 12
 EPOCHS, RATE, DECAY = 4, 0.25, 1e-6
@@ -27,8 +27,8 @@ EPOCHS, RATE, DECAY = 4, 0.25, 1e-6
 SWITCH_EVERY = 3
 SEED = 11
 UNKNOWN = "und"
-#: Word slots of a padded forward-backward block.
-_SLOTS = 400_000
+#: Numbers in a padded forward-backward block, and in the memory of word emissions.
+_SLOTS, _REMEMBERED = 1_600_000, 1_600_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRIP = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»“”„‘’…–—¿¡"
@@ -183,22 +183,22 @@ def train(sample: pd.DataFrame) -> CRF | None:
 class Labeller:
     """Applies a model to texts; remembers the emissions of words it has seen."""
 
-    MEMORY = 400_000
-
     def __init__(self, model: CRF):
         self.model = model
+        self.memory = _REMEMBERED // len(model.langs)
+        self.slots = _SLOTS // len(model.langs)
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((self.MEMORY, len(model.langs)), dtype=np.float32)
+        self.rows = np.zeros((self.memory, len(model.langs)), dtype=np.float32)
 
     def _codes(self, texts: list[list[str]]) -> tuple[list[np.ndarray], np.ndarray]:
         """Each text's words as rows of an emission table, and that table."""
         known = self.known
         new = list(set().union(*texts).difference(known))
-        if len(known) + len(new) > self.MEMORY:
+        if len(known) + len(new) > self.memory:
             known.clear()
             new = list(set().union(*texts))
         rows = self.rows
-        if len(new) > self.MEMORY:
+        if len(new) > self.memory:
             local = {w: i for i, w in enumerate(new)}
             rows = np.concatenate([self.model.emissions(features(new[i : i + 20_000])) for i in range(0, len(new), 20_000)])
         else:
@@ -224,7 +224,7 @@ class Labeller:
         at = 0
         while at < len(order):
             end = at + 1
-            while end < len(order) and len(texts[order[end]]) * (end + 1 - at) <= _SLOTS:
+            while end < len(order) and len(texts[order[end]]) * (end + 1 - at) <= self.slots:
                 end += 1
             part = order[at:end]
             length = np.array([len(texts[i]) for i in part])
@@ -250,7 +250,7 @@ def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     """At most TRAIN_TEXTS rows (lang, text) a language, by hash of the id, none of them held out."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null").filter(~held_out("doc_id"))
-    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.substring_index("text", " ", 2 * TRAIN_WORDS).alias("text"))
+    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.substring(F.substring_index("text", " ", 2 * TRAIN_WORDS), 1, TRAIN_CHARS).alias("text"))
     each = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), 2.0 * TRAIN_TEXTS / F.col("n"))
     near = rows.join(F.broadcast(each.orderBy(F.desc("n"), "lang").limit(TRAIN_LANGS)), "lang")
