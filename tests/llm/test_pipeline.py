@@ -33,3 +33,68 @@ def test_registered(spark, duck, sf_dir):
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     found = duck.execute(queries.ORACLES["op7_license_scan"]).fetchall()
     assert len(found) == queries.QUERIES["op7_license_scan"](spark, sf_dir).count()
+
+
+def test_stages_by_brute_force(spark, duck, sf_dir):
+    """Each stage's rows against plain Python (the first against SQL), on what the stage before it kept."""
+    import collections
+
+    from test_dedup import classes, near, slow_fingerprint
+    from test_pii_licenses import base
+
+    from kindred.llm import substring
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    steps = dict(corpus_pipeline.STAGES)
+
+    found = duck.execute(queries.ORACLES["op3_quality_rules"])
+    names = [d[0] for d in found.description]
+    kept = {row[names.index("doc_id")] for row in found.fetchall() if row[names.index("kept")]}
+    docs = stage(steps["quality rules"](spark, docs, sf_dir), "test")
+    assert {r.doc_id for r in docs.collect()} == kept
+
+    fps = {i: slow_fingerprint(texts[i]) for i in kept}
+    signed = {i: f - (1 << 64) if f >> 63 else f for i, f in fps.items()}
+    root = classes(near(signed.values(), 2), signed.values())
+    first = {}
+    for i in sorted(kept):
+        first.setdefault(root[signed[i]], i)
+    docs = stage(steps["near-dedup"](spark, docs, sf_dir), "test")
+    assert {r.doc_id for r in docs.collect()} == set(first.values())
+
+    seen, cut = set(), {}
+    for i in sorted(first.values()):
+        units, spans = [u for line in substring.text_units([texts[i]])[0] for u in line], substring.unit_spans(texts[i])
+        old = []
+        for k, u in enumerate(units):
+            if tuple(u) in seen:
+                old.append(k)
+            seen.add(tuple(u))
+        runs = substring.repeated_runs(old, [len(units[k]) for k in old], substring.MIN_WORDS) if old else []
+        text = substring.without(texts[i], [(spans[a][0], spans[b][1]) for a, b in runs])
+        if not runs or text.strip(" "):
+            cut[i] = text
+    docs = stage(steps["passage dedup"](spark, docs, sf_dir), "test")
+    assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {i: (t, len(t)) for i, t in cut.items()}
+
+    clean = {}
+    for i, text in cut.items():
+        out, at = [], 0
+        for start, _, end, kind in base(text):
+            if start >= at:
+                out += [text[at:start], f"<{kind.upper()}>"]
+            at = max(at, end)
+        clean[i] = "".join([*out, text[at:]])
+    docs = stage(steps["pii"](spark, docs, sf_dir), "test")
+    assert {r.doc_id: r.text for r in docs.collect()} == clean
+
+    rows = {r.doc_id: r for r in docs.collect()}
+    bins, size = collections.defaultdict(list), collections.Counter()
+    for r in steps["packing"](spark, docs, sf_dir).collect():
+        bins[r.bin_id].append(r)
+        size[r.doc_id] += r.n_bytes
+    assert size == {i: len(r.text.encode()) + 1 for i, r in rows.items()}
+    for pieces in bins.values():
+        assert sum(p.n_bytes for p in pieces) <= 8192
+        assert len({rows[p.doc_id].source for p in pieces}) == len(pieces)
