@@ -77,18 +77,23 @@ def nearest_in_block(ids: np.ndarray, vectors: np.ndarray, codes: Codes, q_ids:
     out = []
     low, high = codes.bounds(turned, epsilon)
     for i, q_id in enumerate(q_ids.tolist()):
-        other = ids != q_id
         cap = limit[i] ** 2 * (1 + 1e-9)
-        if distinct and other.sum() >= k:
-            cap = min(cap, float(np.partition(high[i][other], k - 1)[k - 1]))
-        near = np.flatnonzero(other & (low[i] <= cap))
+        if distinct and np.isinf(cap) and len(ids) > k:
+            cap = float(np.partition(high[i], k)[k])  # one more than k, as the query's own row may be among them
+        near = np.flatnonzero(low[i] <= cap)
+        near = near[ids[near] != q_id]
         if not len(near):
             continue
         exact = distances(vectors[near], queries[i])
-        found = pd.DataFrame({"id": ids[near], "d": exact}).sort_values(["d", "id"]).drop_duplicates("id").head(k)
-        out += [(q_id, int(a), float(b)) for a, b in zip(found["id"], found["d"])]
-        if len(found) == k:
-            limit[i] = min(limit[i], float(found["d"].iloc[-1]))
+        order = np.lexsort((ids[near], exact))
+        found: dict[int, float] = {}
+        for a, d in zip(ids[near][order].tolist(), exact[order].tolist()):
+            if a not in found:
+                found[a] = d
+                if len(found) == k:
+                    limit[i] = min(limit[i], d)
+                    break
+        out += [(q_id, a, d) for a, d in found.items()]
     return out
 
 
