@@ -201,6 +201,15 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def rows_of(docs: DataFrame, best: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each (none, doc_id, h) in the column ``best``."""
+    key, hash_ = fresh(docs, "__id", "__h")
+    chosen = best.select(F.col("best.doc_id").alias(key + "_"), F.col("best.h").alias(hash_ + "_"))
+    keyed = docs.withColumns({key: F.col(id_col).cast("long"), hash_: F.xxhash64(text_col)})
+    kept = keyed.join(chosen, keyed[key].eqNullSafe(chosen[key + "_"]) & (keyed[hash_] == chosen[hash_ + "_"]), "left_semi")
+    return kept.dropDuplicates([key, hash_]).drop(key, hash_)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the smallest id, then text hash; null ids last.
 
@@ -208,8 +217,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = near_duplicates(docs, id_col, text_col)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("best"))
-    key, hash_ = fresh(docs, "__id", "__h")
-    chosen = best.select(F.col("best.doc_id").alias(key + "_"), F.col("best.h").alias(hash_ + "_"))
-    keyed = docs.withColumns({key: F.col(id_col).cast("long"), hash_: F.xxhash64(text_col)})
-    kept = keyed.join(chosen, keyed[key].eqNullSafe(chosen[key + "_"]) & (keyed[hash_] == chosen[hash_ + "_"]), "left_semi")
-    return kept.dropDuplicates([key, hash_]).drop(key, hash_)
+    return rows_of(docs, best, id_col, text_col)
