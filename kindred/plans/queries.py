@@ -231,7 +231,7 @@ def addr_token_overlap(spark, sf_dir):
 
 
 def addr_topk(spark, sf_dir):
-    return retrieval.address_top(normalized_parts(spark, sf_dir), k=10)
+    return retrieval.address_top(normalized_parts(spark, sf_dir))
 
 
 def addr_overlap2(spark, sf_dir):
