@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kindred.llm.common import stage
+from kindred.llm.common import map_arrow, stage
 
 K = 10
 #: Bound of the estimate's error in standard deviations.
@@ -152,7 +152,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
             if best is not None and len(best):
                 yield pa.RecordBatch.from_pandas(best.astype({"query_id": "int64", "vec_id": "int64", "score": "float64"}), preserve_index=False)
 
-        got = stage(rows.select("vec_id", "v").mapInArrow(search, "query_id long, vec_id long, score double"), "nearest")
+        got = stage(map_arrow(rows.select("vec_id", "v"), search, "query_id long, vec_id long, score double"), "nearest")
         found = got if found is None else found.unionByName(got)
     if found is None:
         return nothing

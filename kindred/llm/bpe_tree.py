@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import shuffle_partitions, stage
+from kindred.llm.common import map_arrow, shuffle_partitions, stage
 from kindred.llm.tokens import batches_of, gather, without_memory
 
 #: Symbols (bytes) of a leaf; pieces of more than two leaves go through the tree.
@@ -244,11 +244,11 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
         n, a, b = _digest(ids, bpe.decode(ids))
         return pd.DataFrame({"doc_id": frame["doc_id"].iloc[:1].array, "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
 
-    found = stage(rows.mapInArrow(encode, ddl), "bpe")
+    found = stage(map_arrow(rows, encode, ddl), "bpe")
     result = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     short = found.filter("n_tokens is not null").select(*result)
     leaves = found.filter("n_tokens is null").select("doc_id", "key", "part", "leaf", "symbols", "ids")
     leaves = leaves.repartition(shuffle_partitions(docs.sparkSession), "key", "part", "leaf")
-    leaves = leaves.mapInArrow(encode_leaves, "doc_id long, key long, part int, leaf int, symbols string, ids binary, sizes binary")
+    leaves = map_arrow(leaves, encode_leaves, "doc_id long, key long, part int, leaf int, symbols string, ids binary, sizes binary")
     long = leaves.groupBy("key").applyInPandas(join_leaves, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return short.unionByName(long.select(*result))

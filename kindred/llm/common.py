@@ -56,6 +56,18 @@ def unstage(df: DataFrame) -> None:
         delete_dir(df.sparkSession, path)
 
 
+#: Spark's setting for the bytes of an Arrow batch, its default, and what these operators use instead.
+_BATCH_KEY, _BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of a few MB, whatever the rows' size; a session's own setting is kept."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        conf.set(_BATCH_KEY, BATCH_BYTES)
+    return df.mapInArrow(function, schema)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names for internal use that clash with none of ``df``'s columns."""
     taken = {c.lower() for c in df.columns}

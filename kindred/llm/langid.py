@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm.common import map_arrow
+
 #: Learning texts a language at most, and words and characters of each (a bounded sample of the labelled rows).
 TRAIN_TEXTS, TRAIN_WORDS, TRAIN_CHARS = 300, 120, 4000
 #: Languages learned at most, those with the most texts.
@@ -287,7 +289,7 @@ def label_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lang, score = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 _labellers: dict[int, Labeller | None] = {}

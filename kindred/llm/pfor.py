@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import new_dir, shuffle_partitions, stage
+from kindred.llm.common import map_arrow, new_dir, shuffle_partitions, stage
 from kindred.llm.tokens import batches_of, byte_encoder
 
 MAGIC = b"KTOKPF1\n"
@@ -231,7 +231,7 @@ def write_token_files(docs: DataFrame, where: str, tokenizer: str, shards: int,
         if out:
             yield pa.RecordBatch.from_pylist([dict(zip(("shard", "file", "n_docs", "n_tokens", "n_blocks", "n_bytes"), (shard, name, *out.close())))], schema=_manifest_schema())
 
-    return stage(rows.select("doc_id", "text").mapInArrow(write, MANIFEST), "token-manifest")
+    return stage(map_arrow(rows.select("doc_id", "text"), write, MANIFEST), "token-manifest")
 
 
 def _manifest_schema() -> pa.Schema:
@@ -260,7 +260,7 @@ def read_token_files(manifest: DataFrame, where: str) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*found), schema)], schema=schema)
 
-    return plan.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(plan, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, shards: int | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.llm.common import fresh, stage
+from kindred.llm.common import fresh, map_arrow, stage
 
 #: Largest share of good texts that the rules together may reject in a stratum, and the risk of more.
 ALPHA, DELTA = 0.04, 0.05
@@ -85,7 +85,7 @@ def measure(docs: DataFrame, text_col: str, names: list[str]) -> DataFrame:
             found = np.array([counts(t) for t in batch.column(place).to_pylist()], dtype=np.int64).reshape(-1, 8)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), *(pa.array(found[:, k]) for k in range(8))], names=labels)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def scores(names: list[str]) -> dict[str, F.Column]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import fresh, stage
+from kindred.llm.common import fresh, map_arrow, stage
 from kindred.llm.components import connected_components
 
 BITS = 64
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "h", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, h long, fp long")
+    return map_arrow(rows, run, "doc_id long, h long, fp long")
 
 
 def _both_ones(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -69,7 +69,7 @@ def _both_ones(fps: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(i * BITS + j, pa.int32()), pa.array(total[i, j])], names=["k", "n"])
 
     got = np.zeros(BITS * BITS, dtype=np.int64)
-    for row in fps.select("fp").mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+    for row in map_arrow(fps.select("fp"), run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         got[row["k"]] = row["n"]
     return fps.count(), got.reshape(BITS, BITS)
 

@@ -20,9 +20,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut and gathered at a time (one larger text goes alone).
-BATCH_BYTES = 24_000_000
-#: Units encoded side by side in one string.
-BESIDE = 256
+BATCH_BYTES = 8_000_000
+#: Units encoded side by side in one string, and strings that the library encodes at a time.
+BESIDE, TOGETHER = 256, 32
+#: Units that are gathered at a time, and bytes of units whose ids are remembered from batch to batch.
+GATHERED, REMEMBERED = 1 << 18, 8_000_000
 
 _IRREGULAR = r"[ \n][ \n]|^[ \n]|[ \n]$|[\x{0}\t\r\x{b}\x{c}\x{85}\x{a0}]|[^\x{0}-\x{24f}]"
 
@@ -42,9 +44,21 @@ def batches_of(column: pa.Array, most: int = BATCH_BYTES):
 
 def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """The runs ``values[starts[c] : starts[c] + counts[c]]`` for each of ``codes``, joined."""
-    n = counts[codes]
-    ends = np.cumsum(n)
-    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - n), n)]
+    out, done = np.empty(int(sum(counts[codes[i : i + GATHERED]].sum() for i in range(0, len(codes), GATHERED))), values.dtype), 0
+    for i in range(0, len(codes), GATHERED):
+        part = codes[i : i + GATHERED]
+        n = counts[part]
+        ends = np.cumsum(n)
+        out[done : done + ends[-1]] = values[np.arange(ends[-1]) + np.repeat(starts[part] - (ends - n), n)]
+        done += int(ends[-1])
+    return out
+
+
+def encoded(tok, texts: list[str]):
+    """Ids of each text; the library's own objects, many times larger, live for a few texts only."""
+    for i in range(0, len(texts), TOGETHER):
+        for e in tok.encode_batch_fast(texts[i : i + TOGETHER], add_special_tokens=False):
+            yield np.array(e.ids, dtype=np.uint32)
 
 
 def without_memory(path: str, **changes):
@@ -69,9 +83,14 @@ class ByteEncoder:
         self.irregular = "|".join([_IRREGULAR, *map(re.escape, added)])
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.lengths = np.array([len(self.tok.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.ids, self.starts, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return list(encoded(self.tok, texts))
 
     def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct units, and where each unit's ids start and how many they are.
@@ -96,6 +115,21 @@ class ByteEncoder:
         starts[alone] = joint + np.cumsum(counts[alone]) - counts[alone]
         return ids, starts, counts
 
+    def _places(self, units: pa.Array) -> np.ndarray:
+        """Where each of the distinct ``units`` is known, after encoding those that were not."""
+        if self.known.nbytes + units.nbytes > REMEMBERED:
+            self._forget()
+        at = pc.index_in(units, value_set=self.known)
+        new = units.filter(pc.is_null(at))
+        places = np.asarray(pc.fill_null(at, -1)).astype(np.int64)
+        places[places < 0] = len(self.known) + np.arange(len(new))
+        ids, starts, counts = self._units(new.to_pylist())
+        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+        self.known = pa.concat_arrays([self.known, new])
+        return places
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array without nulls."""
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
@@ -107,10 +141,9 @@ class ByteEncoder:
             marked = pc.binary_join_element_wise("\0", pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), "")
             cut = pc.split_pattern(marked, " ")
             coded = cut.flatten().dictionary_encode()
-            codes = np.asarray(coded.indices)
-            ids, starts, counts = self._units(coded.dictionary.to_pylist())
-            all_ids = gather(ids, starts, counts, codes)
-            ends = np.append(0, np.cumsum(counts[codes]))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(cut))))]
+            codes = self._places(coded.dictionary)[np.asarray(coded.indices)]
+            all_ids = gather(self.ids, self.starts, self.counts, codes)
+            ends = np.append(0, np.cumsum(self.counts[codes]))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(cut))))]
             for k, i in enumerate(plain.tolist()):
                 out[i] = all_ids[ends[k] : ends[k + 1]]
         return out
