@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.llm.common import fresh, stage, unstage
+from kindred.llm.common import fresh, map_arrow, stage, unstage
+from kindred.llm.tokens import batches_of
 
 #: Words on either side among which a word must have the smallest hash to end a unit.
 REACH = 3
@@ -25,78 +26,106 @@ REACH = 3
 SAME = 8
 #: Words that a run of repeated units must have to be removed.
 MIN_WORDS = 20
-_REMEMBERED = 500_000
+#: Bytes of text that are cut at a time (one larger text goes alone), and characters of the words whose hashes are remembered.
+SLICE_BYTES, REMEMBERED = 1_000_000, 1_000_000
 
 _WORD = re.compile(r"\S+")
+_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
 class _Hashes(dict):
-    """The first four bytes of normalised words' MD5; emptied when it grows large."""
+    """The first eight bytes of normalised words' MD5; emptied when it grows large."""
+
+    held = 0
 
     def __missing__(self, word: str) -> int:
-        if len(self) > _REMEMBERED:
+        self.held += len(word)
+        if self.held > REMEMBERED:
             self.clear()
-        found = self[word] = int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big")
+            self.held = len(word)
+        found = self[word] = int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:8], "big")
         return found
 
 
 _HASHES = _Hashes()
 
 
-def cut_lines(lines: list[list[str]]) -> list[list[list[str]]]:
-    """The units of each line's words.
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+
+def unit_ends(sizes: list[int], hashes: np.ndarray) -> np.ndarray:
+    """For each word, whether a unit ends with it; ``sizes`` are the numbers of words of the lines.
 
-    A unit ends after a word whose hash is less than that of the REACH words before it and not
-    more than that of the REACH words after it, within the line; after every SAME repeats of
-    one word in a row; and at the line's end.
+    A unit ends after a word whose hash's first four bytes are less than those of the REACH
+    words before it and not more than those of the REACH words after it, within the line;
+    after every SAME repeats of one word in a row; and at the line's end.
     """
-    sizes = np.array([len(words) for words in lines], dtype=np.int64)
-    starts = np.cumsum(sizes + REACH) - sizes  # REACH blanks before each line
-    flat = np.full(int(sizes.sum()) + REACH * (len(lines) + 1), np.iinfo(np.int64).max)
-    if sizes.sum():
-        at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        flat[at] = np.fromiter((h for words in lines for h in map(_HASHES.__getitem__, words)), np.int64, len(at))
+    sizes = np.array(sizes, dtype=np.int64)
+    blank = np.iinfo(np.int64).max
+    flat = np.full(len(hashes) + REACH * (len(sizes) + 1), blank)
+    at = np.arange(len(hashes)) + REACH * (1 + np.repeat(np.arange(len(sizes)), sizes))  # REACH blanks before each line
+    flat[at] = (hashes >> np.uint64(32)).astype(np.int64)
     middle = flat[REACH : len(flat) - REACH]
-    ends = middle < np.iinfo(np.int64).max
+    ends = middle < blank
     for k in range(1, REACH + 1):
         ends &= (middle < flat[REACH - k : len(flat) - REACH - k]) & (middle <= flat[REACH + k : len(flat) - REACH + k])
     new = np.append(True, middle[1:] != middle[:-1])[: len(middle)]
     place = np.arange(len(middle)) - np.maximum.accumulate(np.where(new, np.arange(len(middle)), 0))
-    ends |= (middle < np.iinfo(np.int64).max) & (place % SAME == SAME - 1)
-    where = np.flatnonzero(ends) + REACH
-    first = np.searchsorted(where, starts).tolist()
-    last = np.searchsorted(where, starts + sizes).tolist()
-    inner = where.tolist()
+    ends |= place % SAME == SAME - 1
+    found = ends[at - REACH]
+    found[np.cumsum(sizes)[sizes > 0] - 1] = True
+    return found
+
+
+def _lines(texts: list[str]) -> tuple[list[str], list[int], list[int]]:
+    """Normalised words of all texts, words of each line, and words of each text."""
+    words, sizes, of_text = [], [], []
+    for text in texts:
+        before = len(words)
+        for line in text.split("\n"):
+            found = line.lower().split()
+            words += found
+            sizes.append(len(found))
+        of_text.append(len(words) - before)
+    return words, sizes, of_text
+
+
+def text_units(texts: list[str]) -> list[list[list[str]]]:
+    """The units of each text, as normalised words."""
     out = []
-    for words, start, a, b in zip(lines, starts.tolist(), first, last):
-        units, begin = [], 0
-        for stop in inner[a:b]:
-            units.append(words[begin : stop - start + 1])
-            begin = stop - start + 1
-        if begin < len(words):
-            units.append(words[begin:])
-        out.append(units)
+    for text in texts:
+        words, sizes, _ = _lines([text])
+        cuts = np.flatnonzero(unit_ends(sizes, _hashes(words))) + 1
+        out.append([words[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())])
     return out
 
 
-def text_units(texts: list[str]) -> list[list[list[list[str]]]]:
-    """Units of each line of each text, as normalised words."""
-    split = [[line.lower().split() for line in text.split("\n")] for text in texts]
-    cut = iter(cut_lines([words for lines in split for words in lines]))
-    return [[next(cut) for _ in lines] for lines in split]
-
-
 def unit_spans(text: str) -> list[tuple[int, int]]:
     """Start and end (code points) of each unit, in the order of ``text_units``."""
-    out, at = [], 0
-    for line, units in zip(text.split("\n"), text_units([text])[0]):
-        words = [m.span() for m in _WORD.finditer(line)]
-        k = 0
-        for unit in units:
-            out.append((at + words[k][0], at + words[k + len(unit) - 1][1]))
-            k += len(unit)
+    words, sizes, _ = _lines([text])
+    cuts = np.flatnonzero(unit_ends(sizes, _hashes(words))).tolist()
+    # lower case may change a word's length, so places come from the text itself
+    spans, at = [], 0
+    for line in text.split("\n"):
+        spans += [(at + m.start(), at + m.end()) for m in _WORD.finditer(line)]
         at += len(line) + 1
-    return out
+    return [(spans[a][0], spans[b][1]) for a, b in zip([0, *(c + 1 for c in cuts)], cuts)]
+
+
+def unit_digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each unit of the texts, in order: its digest, its words, and the text it is in."""
+    words, sizes, of_text = _lines(texts)
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = _hashes(words)
+    starts = np.append(0, np.flatnonzero(unit_ends(sizes, hashes))[:-1] + 1)
+    n = np.diff(np.append(starts, len(words)))
+    place = (np.arange(len(words)) - np.repeat(starts, n) + 1).astype(np.uint64)
+    mixed = (hashes ^ (place * _MIX[0])) * _MIX[1]
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[2]
+    digest = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), starts) + n.astype(np.uint64) * _MIX[0]
+    return digest.view(np.int64), n, np.repeat(np.arange(len(texts)), of_text)[starts]
 
 
 def repeated_runs(units: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
@@ -130,24 +159,15 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     schema = pa.schema([("digest", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int32()), ("unit", pa.int32()), ("words", pa.int32())])
 
     def run(batches):
-        import xxhash
-
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                digest, n, count = [], [], []
-                for lines in text_units(part.column(2).to_pylist()):
-                    found = [unit for line in lines for unit in line]
-                    digest += [xxhash.xxh64_intdigest(" ".join(u)) for u in found]
-                    n += map(len, found)
-                    count.append(len(found))
-                which = np.repeat(np.arange(part.num_rows), count)
-                unit = np.arange(len(digest)) - np.repeat(np.cumsum(count) - count, count)
-                take = pa.array(which)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(digest, np.uint64).view(np.int64)), part.column(0).take(take), part.column(1).take(take), pa.array(unit, pa.int32()), pa.array(n, pa.int32())], schema=schema)
+            for at, texts in batches_of(batch.column(2), SLICE_BYTES):
+                digest, n, which = unit_digests(texts.to_pylist())
+                first = np.searchsorted(which, np.arange(len(texts)))
+                unit, take = np.arange(len(which)) - first[which], pa.array(which + at)
+                yield pa.RecordBatch.from_arrays([pa.array(digest), batch.column(0).take(take), batch.column(1).take(take), pa.array(unit, pa.int32()), pa.array(n, pa.int32())], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("h"), F.col(text_col).alias("text")).filter("text <> ''")
-    return rows.mapInArrow(run, "digest long, doc_id long, h int, unit int, words int")
+    return map_arrow(rows, run, "digest long, doc_id long, h int, unit int, words int")
 
 
 def repeated_units(found: DataFrame) -> DataFrame:
@@ -162,14 +182,16 @@ def repeated_units(found: DataFrame) -> DataFrame:
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, removed_col: str = "removed") -> DataFrame:
-    """``docs`` with repeated passages cut out of the text, and the spans cut out.
-
-    All other columns are kept.  ``removed_col`` is an array of (start, end) in code points of
-    the original text, in order.  A null text stays null, an empty one empty.  Rows with the
-    same id and text count as one document: all of them keep, or lose, the same passages.
-    Repeats within a text go too.  An empty table gives no row.
+    """``docs`` with repeated passages cut out of the text, and a last column with the spans cut out.
+
+    All other columns are kept.  The last column is called ``removed_col``, with underscores
+    before it if the table has such a column: an array of (start, end) in code points of the
+    original text, in order.  A null text stays null, an empty one empty.  Rows with the same
+    id and text count as one document: all of them keep, or lose, the same passages.  Repeats
+    within a text go too.  An empty table gives no row.  Texts are cut and rewritten
+    ``SLICE_BYTES`` at a time, a longer text alone.
     """
-    key, hash_, marks, original = fresh(docs, "__id", "__h", "__marks", "__original")
+    removed_col, key, hash_, marks = fresh(docs, removed_col, "__id", "__h", "__marks")
     found = stage(units(docs, id_col, text_col), "units")
     by_doc = repeated_units(found).groupBy("doc_id", "h").agg(F.array_distinct(F.collect_list(F.struct("unit", "words"))).alias(marks))
     by_doc = stage(by_doc.withColumnsRenamed({"doc_id": key + "_", "h": hash_ + "_"}), "repeats")
@@ -183,18 +205,24 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def rewrite(batches):
         for batch in batches:
-            texts, removed = batch.column(place).to_pylist(), []
-            for i, (at, words) in enumerate(zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist())):
-                runs = repeated_runs(at, words, min_words) if at else []
-                spans = unit_spans(texts[i]) if runs else []
-                cut = [(spans[a][0], spans[b][1]) for a, b in runs]
-                texts[i] = without(texts[i], cut) if cut else texts[i]
-                removed.append([{"start": a, "end": b} for a, b in cut])
-            columns = [batch.column(k) for k in range(n)]
-            columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, spans_type)], names=names)
-
-    return joined.mapInArrow(rewrite, schema)
+            for at, texts in batches_of(batch.column(place), SLICE_BYTES):
+                part = batch.slice(at, len(texts))
+                removed = [[] for _ in range(len(texts))]
+                new = None
+                for i in np.flatnonzero(np.asarray(part.column(n).is_valid())).tolist():
+                    runs = repeated_runs(part.column(n)[i].as_py(), part.column(n + 1)[i].as_py(), min_words)
+                    if runs:
+                        new = new or texts.to_pylist()
+                        spans = unit_spans(new[i])
+                        cut = [(spans[a][0], spans[b][1]) for a, b in runs]
+                        new[i] = without(new[i], cut)
+                        removed[i] = [{"start": a, "end": b} for a, b in cut]
+                columns = [part.column(k) for k in range(n)]
+                if new:
+                    columns[place] = pa.array(new, columns[place].type)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, spans_type)], names=names)
+
+    return map_arrow(joined, rewrite, schema)
 
 
 def passage_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -162,7 +162,7 @@ def test_repeats_by_brute_force(spark):
     got = {r.doc_id: [(c.start, c.end) for c in r.removed] for r in substring.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     seen = set()
     for i, text in rows:
-        units, spans = [u for line in substring.text_units([text])[0] for u in line], substring.unit_spans(text)
+        units, spans = substring.text_units([text])[0], substring.unit_spans(text)
         assert [" ".join(u) for u in units] == [" ".join(text[a:b].lower().split()) for a, b in spans]
         old = []
         for k, u in enumerate(units):
@@ -178,7 +178,8 @@ def test_cuts_by_definition():
 
     rng = random.Random(7)
     lines = [words(rng, rng.randrange(25)) for _ in range(60)] + [["x"] * 9 + ["y"] * 30, []]
-    for line, units in zip(lines, substring.cut_lines(lines)):
+    cut = iter(substring.text_units(["\n".join(map(" ".join, lines))])[0])
+    for line in lines:
         h = [hashlib.md5(w.encode()).hexdigest()[:8] for w in line]
         want, start = [], 0
         for i in range(len(line)):
@@ -187,7 +188,35 @@ def test_cuts_by_definition():
             if all(h[i] < x for x in before) and all(h[i] <= x for x in after) or same % 8 == 7 or i == len(line) - 1:
                 want.append(line[start : i + 1])
                 start = i + 1
-        assert units == want
+        assert [next(cut) for _ in want] == want
+    assert next(cut, None) is None
+
+
+def test_digests_tell_units_apart():
+    rng = random.Random(8)
+    texts = ["\n".join(" ".join(rng.choice("ab") for _ in range(rng.randrange(12))) for _ in range(6)) for _ in range(300)] + ["", " \n ", "\n"]
+    digest, n, which = substring.unit_digests(texts)
+    units = [(k, tuple(u)) for k, found in enumerate(substring.text_units(texts)) for u in found]
+    assert which.tolist() == [k for k, _ in units] and n.tolist() == [len(u) for _, u in units]
+    assert len({u for _, u in units}) == len(set(digest.tolist())) == len(set(zip(digest.tolist(), (u for _, u in units))))
+
+
+def test_no_long_line_repeats_and_odd_tables_pass(spark, sf_dir):
+    """Afterwards no line of MIN_WORDS words or more, as it stood in the input, is found twice; a very long text is cut alone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    long = "\n".join(" ".join(words(random.Random(i), 30)) for i in range(9000))
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame([(-2, long), (-1, long + "\nend")], "doc_id long, text string"))
+    done = {r.doc_id: r.text for r in substring.drop_repeats(docs).collect()}
+    assert done[-2] == long and done[-1] == "end"
+    seen = {}
+    for i, text in sorted(done.items()):
+        for line in text.split("\n"):
+            found = tuple(line.lower().split())
+            if len(found) >= substring.MIN_WORDS:
+                assert found not in seen, (i, seen[found])
+                seen[found] = i
+    clash = docs.limit(3).selectExpr("doc_id", "text", "1 as removed", "2 as __marks")
+    assert substring.drop_repeats(clash).columns == ["doc_id", "text", "removed", "__marks", "_removed"]
 
 
 def test_report_columns(spark, sf_dir):

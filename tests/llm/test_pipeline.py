@@ -65,7 +65,7 @@ def test_stages_by_brute_force(spark, duck, sf_dir):
 
     seen, cut = set(), {}
     for i in sorted(first.values()):
-        units, spans = [u for line in substring.text_units([texts[i]])[0] for u in line], substring.unit_spans(texts[i])
+        units, spans = substring.text_units([texts[i]])[0], substring.unit_spans(texts[i])
         old = []
         for k, u in enumerate(units):
             if tuple(u) in seen:
