@@ -30,7 +30,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document holds; documents that have nothing else go."""
-    done = substring.drop_repeats(docs, removed_col="__removed").filter("size(__removed) = 0 or trim(text) <> ''")
+    done = substring.drop_repeats(docs)
+    done = done.filter((F.size(done.columns[-1]) == 0) | (F.trim("text") != ""))
     return _with_length(done.select(*docs.columns))
 
 
