@@ -1,28 +1,34 @@
-"""Near copies by an exact similarity join: texts whose shingle sets have a Jaccard similarity of 0.8 or more.
-
-Two sets that similar share a member among the first n - ceil(0.8 n) + 1 of each, in any order
-that is the same for all texts.  Members that a sample finds common come last in that order,
-the rarest of them first, so that few unlike texts meet; the order has no part in the result.
-Pairs that meet are held against bitmaps first: sets whose bitmaps differ in d bits differ in
-d members at least.  What is left is compared shingle by shingle.
+"""Near copies: texts whose sets of word shingles have a Jaccard similarity of 0.8 or more.
+
+SimHash fingerprints of the sets are probed first and what meets is verified.  Then an exact
+join connects what the fingerprints leave out.  Two sets that similar share a member among the
+first n - ceil(0.8 n) + 1 of each, in any order that is the same for all texts; here members
+come in the order of how many texts have them, counted over all texts in a table of fixed size,
+so that few unlike texts meet.  Pairs that meet are held against bitmaps first: sets whose
+bitmaps differ in d bits differ in d members at least.  What is left is compared shingle by
+shingle.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import fresh, stage, unstage
+from kindred.llm import simhash
+from kindred.llm.common import fresh, map_arrow, stage, unstage
 from kindred.llm.components import connected_components
-from kindred.llm.simhash import rows_of
 
 WORDS = 5
-#: Texts that are searched for common shingles, and the number of these that are kept.
-SAMPLE, COMMON = 20_000, 200_000
-#: Rounds of comparisons with one member a bucket, at most; pairs a row that are few enough for comparing all.
-ROUNDS, FEW = 4, 4
+#: Bits in which fingerprints may differ to be verified.
+DISTANCE = 2
+#: Counters that shingles share, by the low bits of their hash.
+COUNTERS = 1 << 17
+#: Rounds of comparisons with one member a bucket, before all members that are still apart are compared.
+ROUNDS = 1
+#: Longs of the bitmaps that the last join compares.
+MARKS = 16
 #: Keys of texts that are broadcast; more are joined.
 BROADCAST = 1_000_000
 
@@ -38,42 +44,39 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in joined], dtype=np.uint64).view(np.int64))
 
 
-def prefix(found: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first n - ceil(0.8 n) + 1 of n shingles; ``common`` is ascending, ``rank`` gives the order of its members."""
+def prefix(found: np.ndarray, counters: np.ndarray) -> np.ndarray:
+    """The first n - ceil(0.8 n) + 1 of n shingles, those with the smallest counters first."""
     size = len(found) - -(-4 * len(found) // 5) + 1 if len(found) else 0
-    at = np.minimum(np.searchsorted(common, found), max(len(common) - 1, 0))
-    late = common[at] == found if len(common) else np.zeros(len(found), dtype=bool)
-    first = found[~late][:size]
-    return np.concatenate([first, found[late][np.argsort(rank[at[late]])][: size - len(first)]]) if len(first) < size else first
+    return found[np.lexsort((found, counters[found & (len(counters) - 1)]))[:size]]
 
 
-def bitmap(found: np.ndarray) -> np.ndarray:
-    """For each place, modulo a power of two of at least the set's size and 64, whether an odd number of shingles has it."""
-    size = max(64, 1 << max(len(found) - 1, 0).bit_length())
+def bitmap(found: np.ndarray, size: int | None = None) -> np.ndarray:
+    """For each place, modulo ``size`` or a power of two of at least the set's size and 64, whether an odd number of shingles has it."""
+    size = size or max(64, 1 << max(len(found) - 1, 0).bit_length())
     odd = np.bincount(found & (size - 1), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that more than one of the sampled texts has, ascending, and each one's place from the rarest."""
+def _counters(texts: DataFrame) -> np.ndarray:
+    """For each of COUNTERS, how many times a text has a shingle of it, over all texts."""
 
     def run(batches):
+        total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(text))], names=["g"])
+            found = [shingles(t) & (COUNTERS - 1) for t in batch.column(0).to_pylist()]
+            total += np.bincount(np.concatenate(found), minlength=COUNTERS)
+        k = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(total[k])], names=["k", "n"])
 
-    every = max(1, texts.count() // SAMPLE)
-    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
-    counted = sample.select("text").mapInArrow(run, "g long").groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
-    rows = counted.orderBy(F.desc("n"), "g").limit(COMMON).collect()
-    found = np.array([r["g"] for r in reversed(rows)], dtype=np.int64)
-    order = np.argsort(found)
-    return found[order], order
+    counted = map_arrow(texts.select("text"), run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, dtype=np.int64)
+    out[counted["k"].to_numpy()] = counted["n"].to_numpy()
+    return out
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """(node, best, n, prefix, bits): a row for each set of shingles; best is its first row's (none, doc_id, h)."""
-    common, rank = _common(texts)
+    """(node, best, n, fp, prefix, bits, marks): a row for each set of shingles; best is its first row's (none, doc_id, h)."""
+    counters = _counters(texts)
 
     def run(batches):
         import xxhash
@@ -81,13 +84,15 @@ def _sets(texts: DataFrame) -> DataFrame:
         for batch in batches:
             found = [shingles(t) for t in batch.column(2).to_pylist()]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in found], dtype=np.uint64).view(np.int64)
-            first = pa.array([prefix(s, common, rank) for s in found], pa.list_(pa.int64()))
+            fps = np.array([simhash.majority(s) for s in found], dtype=np.uint64).view(np.int64)
+            first = pa.array([prefix(s, counters) for s in found], pa.list_(pa.int64()))
             bits = pa.array([bitmap(s) for s in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes), pa.array([len(s) for s in found], pa.int32()), first, bits], names=["doc_id", "h", "node", "n", "prefix", "bits"])
+            marks = pa.array([bitmap(s, 64 * MARKS) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes), pa.array([len(s) for s in found], pa.int32()), pa.array(fps), first, bits, marks], names=["doc_id", "h", "node", "n", "fp", "prefix", "bits", "marks"])
 
-    rows = texts.mapInArrow(run, "doc_id long, h long, node long, n int, prefix array<long>, bits array<long>")
+    rows = map_arrow(texts, run, "doc_id long, h long, node long, n int, fp long, prefix array<long>, bits array<long>, marks array<long>")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h"))
-    return rows.groupBy("node").agg(best.alias("best"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    return rows.groupBy("node").agg(best.alias("best"), *(F.first(c).alias(c) for c in ("n", "fp", "prefix", "bits", "marks")))
 
 
 def _shingles_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def _shingles_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     keys = nodes.select("node", F.col("best.doc_id").alias("id_"), F.col("best.h").alias("h_"))
     keys = F.broadcast(keys) if keys.count() <= BROADCAST else keys
     rows = texts.join(keys, (F.col("h") == F.col("h_")) & F.col("doc_id").eqNullSafe(F.col("id_"))).select("node", "text")
-    return rows.mapInArrow(run, "node long, n int, found array<long>").dropDuplicates(["node"])
+    return map_arrow(rows, run, "node long, n int, found array<long>").dropDuplicates(["node"])
 
 
 def _both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -137,40 +142,44 @@ def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _probed(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints are equal, or linked by ``simhash.links``; one set stands for a fingerprint."""
+    fps = stage(nodes.groupBy("fp").agg(F.min("node").alias("a")), "fingerprints")
+    same = nodes.select("fp", F.col("node").alias("b")).join(fps, "fp").filter("a <> b")
+    linked = simhash.links(fps.select("fp"), DISTANCE).withColumnsRenamed({"a": "x", "b": "y"})
+    other = linked.join(fps.withColumnsRenamed({"fp": "x"}), "x").join(fps.withColumnsRenamed({"fp": "y", "a": "b"}), "y")
+    return same.select("a", "b").unionByName(other.select("a", "b"))
+
+
 def links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of similar sets that connect all that are similar.
 
-    Sets that share a shingle of their prefixes form a bucket.  All of a bucket are first
-    compared with one of them, some rounds long, each time another one; then every pair that
-    is not yet connected is compared.  A group of near copies so costs rows in proportion to
-    its members, and no pair is left out.
+    First come the pairs that the fingerprints give.  Sets that share a shingle of their
+    prefixes form a bucket.  In each of ROUNDS, all of a bucket whose members are not all
+    connected are compared with one of them; then every two that are still apart are, by
+    bitmaps where they meet, so a row leaves the join only for a pair that may be similar.
+    A group of near copies so costs rows in proportion to its members, and no pair is left out.
     """
+    found = _verified(_probed(nodes).select(*_pair("a", "b")).distinct(), texts, nodes)
     rows = nodes.select("node", "n", F.explode("prefix").alias("token"))
-    by_size = Window.partitionBy("token").orderBy("n")
-    beside = rows.withColumns({"less": F.lag("n").over(by_size), "more": F.lead("n").over(by_size)})
-    shared = beside.filter("5 * less >= 4 * n or 5 * n >= 4 * more")
-    live = stage(shared.select("token", "node", "n", F.col("node").alias("root")), "buckets")
-    buckets, found = live, None
+    often = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
+    shared = rows.join(often, "token", "left_semi").groupBy("node", "n").agg(F.collect_list("token").alias("tokens"))
+    buckets = stage(shared, "buckets")
     similar = 5 * F.least("n", "n_") >= 4 * F.greatest("n", "n_")
     for k in range(ROUNDS + 1):
-        sizes = live.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        cost = sizes.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("s")) / 2).alias("pairs")).first()
-        last = k == ROUNDS or (cost["pairs"] or 0) <= FEW * (cost["rows"] or 0)
-        if last:
-            other = live.select("token", F.col("node").alias("node_"), F.col("n").alias("n_"), F.col("root").alias("root_"))
-            pairs = live.join(other, "token").filter(F.col("root") < F.col("root_"))
-        else:
-            centre = live.groupBy("token").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", "token", F.lit(k))).alias("c"))
-            centre = centre.select("token", F.col("c.node").alias("node_"), F.col("c.n").alias("n_"), F.col("c.root").alias("root_"))
-            pairs = live.join(centre, "token").filter(F.col("root") != F.col("root_"))
-        now = _verified(pairs.filter(similar).select(*_pair("node", "node_")).distinct(), texts, nodes)
-        found = now if found is None else found.unionByName(now)
-        if last:
-            break
         roots = connected_components(found)
-        joined = buckets.drop("root").join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
-        apart = joined.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
-        live = stage(joined.join(apart, "token", "left_semi"), "buckets")
+        joined = buckets.join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), F.explode("tokens").alias("token"))
+        spread = F.struct("node", "n", "root")
+        centre = joined.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min_by(spread, F.xxhash64("node", "token", F.lit(k))).alias("c")).filter("x <> y")
+        centre = centre.select("token", F.col("c.node").alias("node_"), F.col("c.n").alias("n_"), F.col("c.root").alias("root_"))
+        if k < ROUNDS:
+            pairs = joined.join(centre, "token").filter(F.col("root") != F.col("root_")).filter(similar)
+        else:
+            live = stage(joined.join(centre.select("token"), "token", "left_semi").join(nodes.select("node", "marks"), "node"), "apart")
+            other = live.select("token", *(F.col(c).alias(c + "_") for c in ("node", "n", "root", "marks")))
+            differ = " + ".join(f"bit_count(marks[{i}] ^ marks_[{i}])" for i in range(MARKS))
+            pairs = live.join(other, "token").filter(F.col("root") < F.col("root_")).filter(similar).filter(F.expr(f"9 * ({differ}) <= n + n_"))
+        found = found.unionByName(_verified(pairs.select(*_pair("node", "node_")).distinct(), texts, nodes))
     return found
 
 
@@ -183,7 +192,7 @@ def _only(docs: DataFrame, best: DataFrame, id_col: str, text_col: str) -> DataF
     rows = rows.join(best, F.col("id_").eqNullSafe(F.col("i")) & (F.col("h_") == F.col("j")), "left")
     odd = stage(rows.filter("stays is null or c > 1").select("id_", "h_", "stays"), "odd")
     if odd.count() > BROADCAST:
-        return rows_of(docs, best.select(F.struct(F.col("i").alias("doc_id"), F.col("j").alias("h")).alias("best")), id_col, text_col)
+        return simhash.rows_of(docs, best.select(F.struct(F.col("i").alias("doc_id"), F.col("j").alias("h")).alias("best")), id_col, text_col)
     same = F.col(key).eqNullSafe(F.col("id_")) & (F.col(hash_) == F.col("h_"))
     once = keyed.join(F.broadcast(odd), same, "left_anti")
     repeated = keyed.join(F.broadcast(odd.filter("stays")), same, "left_semi").dropDuplicates([key, hash_])

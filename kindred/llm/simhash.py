@@ -38,11 +38,15 @@ def fingerprint(text: str | None, words: int = 3) -> int:
         shingles = [b" ".join(found)]
     else:
         shingles = list(map(b" ".join, zip(*(found[i:] for i in range(words)))))
+    return majority(np.array([hash_of(s, 42) for s in shingles], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The unsigned number whose bits are 1 where over half of the 64-bit ``hashes`` have a 1."""
     ones = np.zeros(BITS, dtype=np.int64)
-    for i in range(0, len(shingles), _CHUNK):
-        h = np.array([hash_of(s, 42) for s in shingles[i : i + _CHUNK]], dtype="<u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(shingles), bitorder="little").view("<u8")[0])
+    for i in range(0, len(hashes), _CHUNK):
+        ones += np.unpackbits(hashes[i : i + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -210,6 +214,20 @@ def rows_of(docs: DataFrame, best: DataFrame, id_col: str = "doc_id", text_col:
     return kept.dropDuplicates([key, hash_]).drop(key, hash_)
 
 
+def keep_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group that a Jaccard similarity of 0.8 on five-word shingles connects.
+
+    The fingerprints of the shingle sets are probed as in ``links``, and what meets is verified
+    by its shingles.  Most pairs that similar differ in more bits than can be probed, so an
+    exact join then finds the links that the fingerprints leave out (see ``jaccard``).  The row
+    with the smallest id, then text hash, stays; null ids come last.  All columns are kept as
+    they are.  Texts without a word are alike; an empty table gives no row.
+    """
+    from kindred.llm import jaccard
+
+    return jaccard.keep_one(docs, id_col, text_col)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the smallest id, then text hash; null ids last.
 

@@ -71,9 +71,9 @@ def test_groups_by_brute_force(spark, monkeypatch):
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int").repartition(3)
     want = expected(rows)
     assert 50 < len(want) < len(rows) - 50
-    for few, sample, keys in ((4, 8000, 10**6), (0, 10, 0), (10**9, 8000, 10**6)):
-        monkeypatch.setattr(jaccard, "FEW", few)
-        monkeypatch.setattr(jaccard, "SAMPLE", sample)
+    for rounds, counters, keys in ((1, 1 << 17, 10**6), (0, 1, 0), (2, 64, 10**6)):
+        monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+        monkeypatch.setattr(jaccard, "COUNTERS", counters)
         monkeypatch.setattr(jaccard, "BROADCAST", keys)
         kept = corpus_pipeline.near_dedup(spark, docs, "")
         assert kept.columns == docs.columns
@@ -87,13 +87,12 @@ def test_documents_by_brute_force(spark, sf_dir):
 
 def test_similar_sets_share_a_prefix():
     rng = np.random.default_rng(2)
-    common = np.sort(rng.choice(400, 60, replace=False))
-    rank = rng.permutation(60)
+    counters = rng.integers(0, 9, 256)
     for _ in range(500):
         a = np.unique(rng.integers(0, 400, rng.integers(1, 90)))
         b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.12], rng.integers(0, 400, rng.integers(0, 6))]))
         if similar(set(a.tolist()), set(b.tolist())):
-            assert np.intersect1d(jaccard.prefix(a, common, rank), jaccard.prefix(b, common, rank)).size
+            assert np.intersect1d(jaccard.prefix(a, counters), jaccard.prefix(b, counters)).size
 
 
 def test_bitmaps_differ_in_fewer_bits_than_sets():
@@ -101,6 +100,7 @@ def test_bitmaps_differ_in_fewer_bits_than_sets():
     for _ in range(300):
         a = np.unique(rng.integers(-(2**63), 2**63 - 1, rng.integers(1, 400)))
         b = np.concatenate([a[rng.random(len(a)) > 0.1], np.unique(rng.integers(-(2**63), 2**63 - 1, rng.integers(0, 20)))])
+        assert np.bitwise_count((jaccard.bitmap(a, 64) ^ jaccard.bitmap(b, 64)).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
         x, y = sorted((jaccard.bitmap(a), jaccard.bitmap(b)), key=len)
         while len(y) > len(x):
             y = y[: len(y) // 2] ^ y[len(y) // 2 :]

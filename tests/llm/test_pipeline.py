@@ -39,7 +39,7 @@ def test_stages_by_brute_force(spark, duck, sf_dir):
     """Each stage's rows against plain Python (the first against SQL), on what the stage before it kept."""
     import collections
 
-    from test_dedup import classes, near, slow_fingerprint
+    from test_near_copies import expected
     from test_pii_licenses import base
 
     from kindred.llm import substring
@@ -54,17 +54,12 @@ def test_stages_by_brute_force(spark, duck, sf_dir):
     docs = stage(steps["quality rules"](spark, docs, sf_dir), "test")
     assert {r.doc_id for r in docs.collect()} == kept
 
-    fps = {i: slow_fingerprint(texts[i]) for i in kept}
-    signed = {i: f - (1 << 64) if f >> 63 else f for i, f in fps.items()}
-    root = classes(near(signed.values(), 2), signed.values())
-    first = {}
-    for i in sorted(kept):
-        first.setdefault(root[signed[i]], i)
+    first = expected([(i, texts[i]) for i in kept])
     docs = stage(steps["near-dedup"](spark, docs, sf_dir), "test")
-    assert {r.doc_id for r in docs.collect()} == set(first.values())
+    assert {r.doc_id for r in docs.collect()} == first
 
     seen, cut = set(), {}
-    for i in sorted(first.values()):
+    for i in sorted(first):
         units, spans = substring.text_units([texts[i]])[0], substring.unit_spans(texts[i])
         old = []
         for k, u in enumerate(units):
