@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import jaccard, packing, pii, quality, substring
+from kindred.llm import packing, pii, quality, simhash, substring
 from kindred.llm.common import stage
 
 
@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that texts with a Jaccard similarity of 0.8 on five-word shingles connect."""
-    return jaccard.keep_one(docs)
+    return simhash.keep_similar(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
