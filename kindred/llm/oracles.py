@@ -99,15 +99,17 @@ FROM f LEFT JOIN c USING (stratum)
 
 
 def personal_data() -> str:
-    """Base spans from plain patterns, and the contextual search with its rounds unrolled."""
-    from kindred.llm.pii import CONFIDENCE, CONTEXT, KINDS, ROUNDS, SUPPORT
+    """Seeds from plain patterns, and the contextual search with its rounds unrolled."""
+    from kindred.llm.pii import CLOSING, CODE, CONFIDENCE, CONTEXT, KINDS, NUMBER, OPENING, ROUNDS, SECRET, SEEDS, SUPPORT
 
-    blank, ink = "[ \\t\\n\\x0B\\f\\r]", "[^ \\t\\n\\x0B\\f\\r]"
+    blank, ink = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
         "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
         "card": r"[0-9](?:[ -]?[0-9])+",
         "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+        "secret": SECRET,
+        "tok": ink + "+",
     }
     digits = "regexp_replace(value, '[^0-9]', '', 'g')"
     luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN (length({digits}) - i) % 2 = 0 THEN CAST({digits}[i] AS INT) ELSE (2 * CAST({digits}[i] AS INT)) % 10 + CAST(CAST({digits}[i] AS INT) >= 5 AS INT) END)) % 10 = 0"
@@ -116,53 +118,76 @@ def personal_data() -> str:
         "ip": "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(nullif(ltrim(p, '0'), '') AS BIGINT), 0) > 255)) = 0",
         "card": f"length({digits}) BETWEEN 12 AND 19 AND {luhn}",
         "phone": f"length({digits}) BETWEEN 9 AND 15",
+        "secret": "regexp_matches(value, '[0-9]')",
     }
-
-    def found(name: str, pattern: str, extra: str) -> str:
+    two = f"{ink}+{blank}+{ink}+"
+
+    def pair(piece: str, where: str) -> str:
+        return f"regexp_replace(regexp_extract(lower({piece}), '{where}', 1), '{blank}+', ' ', 'g')"
+
+    def found(name: str, rank: int) -> str:
+        """Matches with their places and the two words of the gaps on either side."""
+        pattern = patterns[name]
+        gaps = f"string_split_regex(text, '{pattern}')"
+        if name == "tok":  # a token without a digit or an at sign is part of the gap
+            gaps = "NULL"
+            return f"""
+tok_l AS (SELECT rid, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM d WHERE regexp_matches(text, '[0-9@]')),
+tok_u AS (SELECT rid, unnest(m) AS value, unnest(g[1:len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS i FROM tok_l),
+tok_e AS (SELECT rid, value, CAST(sum(length(value) + length(gap)) OVER (PARTITION BY rid ORDER BY i) AS INT) AS stop FROM tok_u),
+tok_p AS (SELECT rid, value, stop, coalesce(lag(stop) OVER w, 0) AS had, lead(stop - length(value)) OVER w AS next FROM tok_e WHERE regexp_matches(value, '[0-9@]') WINDOW w AS (PARTITION BY rid ORDER BY stop)),
+tok AS (SELECT rid, stop, value, text[had + 1 : stop - length(value)] AS gap, text[stop + 1 : coalesce(next, length(text))] AS later FROM tok_p JOIN d USING (rid))"""
+        cut = "regexp_extract(value, '([0-9A-Za-z+/_=-]+)[\"\\x27]$', 1)" if name == "secret" else "value"
+        stop = "stop - 1" if name == "secret" else "stop"
         return f"""
-{name}_l AS (SELECT rid, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS g FROM d),
-{name}_u AS (SELECT rid, unnest(m) AS value, unnest(g[1:len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS i FROM {name}_l),
-{name}_e AS (SELECT rid, value, CAST(sum(length(value) + length(gap)) OVER (PARTITION BY rid ORDER BY i) AS INT) AS stop FROM {name}_u),
-{name} AS (SELECT rid, stop - length(value) AS start, stop, value{extra} FROM {name}_e)"""
-
-    bases = ",".join(found(k, patterns[k], f", {r} AS rank, '{k}' AS kind") for r, k in enumerate(KINDS))
-    base = " UNION ALL ".join(f"SELECT * FROM {k} WHERE {valid[k]}" for k in KINDS)
-    at_least = "contains(value, '@') AND length(value) >= 5"
-    number = f"regexp_matches(value, '^[(]?[0-9][0-9()./:-]*$') AND length({digits}) >= 7"
-    words = f"regexp_replace(regexp_extract(lower(text[greatest(start + 1 - {CONTEXT}, 1):start]), '(?:^|{blank})({ink}+{blank}+{ink}+){blank}*$', 1), '{blank}+', ' ', 'g')"
+{name}_l AS (SELECT rid, regexp_extract_all(text, '{pattern}') AS m, {gaps} AS g FROM d WHERE regexp_matches(text, '[0-9@]')),
+{name}_u AS (SELECT rid, unnest(m) AS value, unnest(g[1:len(m)]) AS gap, unnest(g[2:len(m) + 1]) AS later, unnest(range(1, len(m) + 1)) AS i FROM {name}_l),
+{name}_e AS (SELECT rid, value, gap, later, CAST(sum(length(value) + length(gap)) OVER (PARTITION BY rid ORDER BY i) AS INT) AS stop FROM {name}_u),
+{name} AS (SELECT rid, {stop} AS stop, {cut} AS value, gap, later, {rank} AS rank, '{name}' AS kind FROM {name}_e)"""
+
+    seeds = ",".join(found(k, r) for r, k in enumerate(SEEDS))
+    seed = " UNION ALL ".join(f"SELECT *, stop - length(value) AS start FROM {k} WHERE {valid[k]}" for k in SEEDS)
+    number = f"regexp_matches(value, '{NUMBER}') AND length({digits}) >= 7"
+    code = f"regexp_matches(value, '{CODE}') AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')"
+    shape = "CASE family WHEN 'number' THEN regexp_replace(value, '[0-9]', '0', 'g') WHEN 'code' THEN CASE WHEN regexp_matches(value, '^[0-9A-Fa-f]+$') THEN 'x' ELSE 'a' END || length(value) END"
+    left = pair(f"right(gap, {CONTEXT})", f"(?:^|{blank})({two}){blank}*$")
+    after = pair(f"left(later, {CONTEXT})", f"^{blank}+({two})(?:{blank}|$)")
     rounds = "b0 AS (SELECT family, value, max(CAST(seed IS NOT NULL AS INT)) * 1.0 AS belief FROM graph GROUP BY ALL)"
     for k in range(ROUNDS):
         rounds += f""",
-t{k} AS (SELECT family, words, least(0.999, sum(n * belief) / max(total)) AS trust FROM graph JOIN b{k} USING (family, value) GROUP BY ALL),
-b{k + 1} AS (SELECT family, value, CASE WHEN max(seed) IS NOT NULL THEN 1.0 ELSE 1 - exp(sum(ln(1 - trust))) END AS belief FROM graph JOIN t{k} USING (family, words) GROUP BY ALL)"""
+t{k} AS (SELECT family, pattern, least(0.999, sum(n * belief) / coalesce(max(total), sum(n))) AS trust FROM graph JOIN b{k} USING (family, value) GROUP BY ALL),
+b{k + 1} AS (SELECT family, value, CASE WHEN max(seed) IS NOT NULL THEN 1.0 ELSE 1 - exp(sum(ln(1 - trust))) END AS belief FROM graph JOIN t{k} USING (family, pattern) GROUP BY ALL)"""
     listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
     counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in KINDS)
     return f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),{bases},
-base AS ({base}),{found("tok", ink + "+", "")},
-cut AS (SELECT rid, start, regexp_replace(value, '[.,;:!?)\\]]+$', '') AS value FROM tok WHERE regexp_matches(value, '[0-9@]')),
-free AS (SELECT rid, start, start + length(value) AS stop, value, CASE WHEN {at_least} THEN 'at' WHEN {number} THEN 'number' END AS family FROM cut),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),{seeds},{found("tok", 9)},
+seed AS ({seed}),
+base AS (SELECT * FROM seed WHERE rank < {len(KINDS)}),
+opened AS (SELECT rid, stop, gap, later, regexp_replace(value, '{OPENING}', '') AS whole, regexp_replace(whole, '{CLOSING}', '') AS value FROM tok),
+free AS (SELECT rid, stop - length(whole) AS start, stop - length(whole) + length(value) AS stop, value, gap, later, CASE WHEN contains(value, '@') AND length(value) >= 5 THEN 'at' WHEN {number} THEN 'number' WHEN {code} THEN 'code' END AS family FROM opened),
 seen AS (
-  SELECT rid, start, stop, value, kind AS seed, CASE WHEN kind = 'email' THEN 'at' ELSE 'number' END AS family FROM base
+  SELECT rid, start, stop, value, gap, later, kind AS seed, CASE kind WHEN 'email' THEN 'at' WHEN 'secret' THEN 'code' ELSE 'number' END AS family FROM seed
   UNION ALL
-  SELECT rid, start, stop, value, NULL, family FROM free f WHERE family IS NOT NULL AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = f.rid AND b.start < f.stop AND f.start < b.stop)
+  SELECT rid, start, stop, value, gap, later, NULL, family FROM free f WHERE family IS NOT NULL AND NOT EXISTS (SELECT 1 FROM seed b WHERE b.rid = f.rid AND b.start < f.stop AND f.start < b.stop)
 ),
-place AS (SELECT * FROM (SELECT s.*, {words} AS words FROM seen s JOIN d USING (rid)) WHERE words <> ''),
-edge AS (SELECT family, words, value, max(seed) AS seed, count(*) AS n FROM place GROUP BY ALL),
-kinds AS (SELECT family, words, seed, count(*) AS seeds FROM edge WHERE seed IS NOT NULL GROUP BY ALL),
-best AS (SELECT family, words, arg_max(seed, (seeds, seed)) AS kind FROM kinds GROUP BY ALL HAVING sum(seeds) >= {SUPPORT}),
-useful AS (SELECT * FROM best SEMI JOIN (SELECT family, words FROM edge WHERE seed IS NULL) USING (family, words)),
+worded AS (SELECT rid, start, stop, value, seed, family, 'L ' || nullif({left}, '') AS l, 'R ' || nullif({after}, '') AS r, 'S ' || ({shape}) AS s FROM seen),
+place AS (SELECT rid, start, stop, value, seed, family, pattern FROM (SELECT rid, start, stop, value, seed, family, unnest([l, r, s]) AS pattern FROM worded) WHERE pattern IS NOT NULL),
+edge AS (SELECT family, pattern, value, max(seed) AS seed, count(*) AS n FROM place GROUP BY ALL),
+kinds AS (SELECT family, pattern, seed, count(*) AS seeds FROM edge WHERE seed IS NOT NULL GROUP BY ALL),
+best AS (SELECT family, pattern, arg_max(seed, (seeds, seed)) AS kind FROM kinds GROUP BY ALL HAVING sum(seeds) >= {SUPPORT}),
+useful AS (SELECT *, CASE WHEN NOT starts_with(pattern, 'S ') THEN pattern[3:] END AS words FROM best SEMI JOIN (SELECT family, pattern FROM edge WHERE seed IS NULL) USING (family, pattern)),
 lw AS (SELECT rid, list_filter(string_split_regex(lower(text), '{blank}+'), lambda w: w <> '') AS w FROM d),
 pair AS (SELECT a || ' ' || b AS words FROM (SELECT unnest(w[1:len(w) - 1]) AS a, unnest(w[2:len(w)]) AS b FROM lw WHERE len(w) > 1)),
-total AS (SELECT words, count(*) AS total FROM pair SEMI JOIN useful USING (words) GROUP BY words),
-graph AS (SELECT edge.*, kind, total FROM edge JOIN useful USING (family, words) JOIN total USING (words)),
+total AS (SELECT words, count(*) AS total FROM pair SEMI JOIN (SELECT words FROM useful WHERE words IS NOT NULL) USING (words) GROUP BY words),
+graph AS (SELECT edge.*, kind, total FROM edge JOIN useful USING (family, pattern) LEFT JOIN total USING (words)),
 {rounds},
-sure AS (SELECT DISTINCT family, words, value, kind FROM graph JOIN t{ROUNDS - 1} USING (family, words) JOIN b{ROUNDS} USING (family, value) WHERE seed IS NULL AND trust >= {CONFIDENCE} AND belief >= {CONFIDENCE}),
-more AS (SELECT DISTINCT p.rid, p.start, p.stop, s.kind, list_position({list(KINDS)!r}, s.kind) - 1 AS rank FROM place p JOIN sure s USING (family, words, value) WHERE p.seed IS NULL),
-every AS (SELECT rid, start, stop, rank, kind FROM base UNION ALL SELECT rid, start, stop, rank, kind FROM more),
+sure AS (SELECT DISTINCT family, pattern, value, kind FROM graph JOIN t{ROUNDS - 1} USING (family, pattern) JOIN b{ROUNDS} USING (family, value) WHERE seed IS NULL AND trust >= {CONFIDENCE} AND belief >= {CONFIDENCE}),
+more AS (SELECT rid, start, stop, min(list_position({list(SEEDS)!r}, s.kind) - 1) AS rank FROM place p JOIN sure s USING (family, pattern, value) WHERE p.seed IS NULL GROUP BY ALL),
+extra AS (SELECT rid, start, stop, rank, kind FROM seed WHERE rank >= {len(KINDS)} UNION ALL SELECT rid, start, stop, rank, ({list(SEEDS)!r})[rank + 1] FROM more),
+every AS (SELECT rid, start, stop, rank, kind FROM base UNION ALL FROM extra),
 b AS (SELECT rid, {counts}, {listed} AS l FROM base GROUP BY rid),
 e AS (SELECT rid, {listed} AS l FROM every GROUP BY rid),
-m AS (SELECT rid, count(*) AS n FROM more GROUP BY rid)
+m AS (SELECT rid, count(*) AS n FROM extra GROUP BY rid)
 SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(b.l, '')) AS base_sha256, coalesce(e.l, '') AS spans, coalesce(m.n, 0) AS n_added
 FROM d LEFT JOIN b USING (rid) LEFT JOIN e USING (rid) LEFT JOIN m USING (rid)
 """

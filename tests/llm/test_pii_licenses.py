@@ -76,6 +76,30 @@ def test_common_words_are_no_pattern(spark):
     assert got[999] == ""
 
 
+def test_shapes_and_secrets(spark):
+    """Numbers that look like many valid cards are marked though their check digit fails; quoted values of key words are secrets, and so are codes of their shape."""
+    rng = random.Random(5)
+    numbers = ["".join(rng.choice("0123456789") for _ in range(16)) for _ in range(60)]
+    cards = [n[:15] + next(d for d in "0123456789" if luhn(n[:15] + d)) for n in numbers]
+    rows = [(i, f"w{i} some {c} thing") for i, c in enumerate(cards)]
+    rows += [(100, "odd " + next(n for n in numbers if not luhn(n)) + " end"), (101, "odd " + "7" * 11 + " end")]
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(38)) + "a7"
+    rows += [(200 + i, f'x{i} token = "{key()}"!! y{i}') for i in range(30)] + [(300, f"see {key()}; there"), (301, f"see {key()[:30]}; there"), (302, 'TOKEN: "abcdefghijklmnopq"')]
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, rank int, start int").repartition(3)).collect()}
+    assert got[100].spans == "card:4:20" and got[100].n_card == 0 and got[100].n_added == 1 and got[101].spans == ""
+    assert got[205].spans == "secret:12:52" and got[300].spans == "secret:4:44" and got[301].spans == got[302].spans == ""
+
+
+def test_very_long_texts_take_linear_time(spark):
+    """A dump of numbers on one line and one of addresses on many."""
+    numbers, mails = " ".join(f"{i:07d};" for i in range(100_000)), "\n".join(f"m{i}@x.de" for i in range(2_000))
+    docs = spark.createDataFrame([(1, numbers), (2, mails), (3, "a" * 3_000_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.report(docs).collect()}
+    assert got[1].spans == got[3].spans == "" and got[2].n_email == 2_000
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert clean[1] == numbers and clean[2] == "\n".join(["<EMAIL>"] * 2_000)
+
+
 def test_overlapping_spans_are_redacted_once(spark):
     docs = spark.createDataFrame([(1, "call +4111 1111 1111 111 now")], "doc_id long, text string")
     assert "<" in pii.redact(docs).first().text
