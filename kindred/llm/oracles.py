@@ -59,13 +59,12 @@ def quality_rules() -> str:
     from kindred.llm.quality import ALPHA, DELTA, GRID, LEAST_WORDS, REPEAT_PERCENT, RULES
 
     step = lambda a, b: f"CAST(least(ceil({a} * {GRID} / CAST(greatest({b}, 1) AS DOUBLE)), {GRID + 1}) AS INT)"
-    alpha = ALPHA / len(RULES)
+    alpha = ALPHA
     blank = "[\\x09-\\x0D ]"
     term = f"exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({alpha!r}) + (n - i) * ln(1 - {alpha!r}))"
     steps = {"repeats": step("n_repeat_words", "n_words"), "symbols": step("n_symbols", "n_words"), "dup_lines": step("n_dup_lines", "n_lines"), "capitals": step("n_capitals", "n_letters")}
-    melt = " UNION ALL ".join(f"SELECT stratum, good, '{r}' AS rule, {r} AS step FROM held" for r in RULES)
-    limits = ", ".join(f"min(cutoff) FILTER (WHERE rule = '{r}') AS {r}" for r in RULES)
-    rejected = " OR ".join(f"f.{r} > coalesce(c.{r}, {GRID + 1})" for r in RULES)
+    melt = " UNION ALL ".join(f"SELECT stratum, bad, rest, '{r}' AS rule, {r} AS step FROM held" for r in RULES)
+    risks = " UNION ALL ".join(f"SELECT rid, risk FROM f JOIN risk r ON r.stratum = f.stratum AND rule = '{r}' AND r.step = f.{r}" for r in RULES)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, list_filter(string_split_regex(text, '{blank}+'), lambda x: x <> '') AS w FROM d),
@@ -82,19 +81,24 @@ base AS (
 ),
 f AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed, {", ".join(f"{v} AS {k}" for k, v in steps.items())} FROM base),
 verdict AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-held AS (SELECT stratum, good, {", ".join(RULES)} FROM f JOIN verdict USING (doc_id) WHERE NOT base_failed),
-tests AS (SELECT count(DISTINCT stratum) * {len(RULES)} AS t FROM held),
+held AS (SELECT f.*, coalesce(good AND md5(CAST(doc_id AS VARCHAR))[1] >= '4', false) AS holdout, NOT holdout AS rest, coalesce(NOT good, false) AS bad FROM f LEFT JOIN verdict USING (doc_id) WHERE NOT base_failed),
+strata AS (SELECT greatest(count(DISTINCT stratum), 1) AS n FROM held WHERE holdout),
 melted AS ({melt}),
+step AS (SELECT stratum, rule, s AS step FROM (SELECT DISTINCT stratum, rule FROM melted), range(0, {GRID + 2}) x(s)),
+share AS (SELECT s.stratum, s.rule, s.step, count(*) FILTER (WHERE bad) * 1000000 // greatest(count(*) FILTER (WHERE rest), 1) AS share FROM step s LEFT JOIN melted m ON m.stratum = s.stratum AND m.rule = s.rule AND m.step >= s.step GROUP BY ALL),
+risk AS (SELECT stratum, rule, step, max(share) OVER (PARTITION BY stratum, rule ORDER BY step) AS risk FROM share),
+doc AS (SELECT rid, max(risk) AS risk FROM ({risks}) GROUP BY rid),
+scored AS (SELECT stratum, holdout, bad, risk FROM held JOIN doc USING (rid)),
 tried AS (
-  SELECT stratum, rule, c AS cutoff, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND step > c) AS k, count(*) FILTER (WHERE NOT good AND step > c) AS caught
-  FROM melted, range(1, {GRID + 1}) x(c) GROUP BY ALL
+  SELECT l.stratum, l.risk AS level, max(n) AS n, count(*) FILTER (WHERE holdout) AS k, count(*) FILTER (WHERE bad) AS caught
+  FROM (SELECT DISTINCT stratum, risk FROM scored) l JOIN scored s ON s.stratum = l.stratum AND s.risk >= l.risk
+  JOIN (SELECT stratum, count(*) FILTER (WHERE holdout) AS n FROM scored GROUP BY stratum) t ON t.stratum = l.stratum GROUP BY ALL
 ),
 tail AS (SELECT *, CASE WHEN n = 0 THEN 2.0 WHEN k >= n THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i: {term})) END AS p FROM tried),
-passed AS (SELECT * FROM (SELECT *, bool_and(p <= {DELTA!r} / (SELECT t FROM tests)) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) AS ok FROM tail) WHERE ok),
-chosen AS (SELECT stratum, rule, max(cutoff) FILTER (WHERE caught = most) AS cutoff FROM (SELECT *, max(caught) OVER (PARTITION BY stratum, rule) AS most FROM passed) GROUP BY ALL),
-c AS (SELECT stratum, {limits} FROM chosen GROUP BY stratum)
-SELECT doc_id, n_words, word_chars, CASE WHEN n_words = 0 THEN 0 ELSE n_symbols END AS n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {rejected}) AS kept
-FROM f LEFT JOIN c USING (stratum)
+passed AS (SELECT * FROM (SELECT *, bool_and(p <= {DELTA!r} / (SELECT n FROM strata)) OVER (PARTITION BY stratum ORDER BY level DESC) AS ok FROM tail) WHERE ok),
+c AS (SELECT stratum, max(level) FILTER (WHERE caught = most) AS level FROM (SELECT *, max(caught) OVER (PARTITION BY stratum) AS most FROM passed) GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, CASE WHEN n_words = 0 THEN 0 ELSE n_symbols END AS n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(doc.risk >= c.level, false)) AS kept
+FROM f LEFT JOIN c USING (stratum) LEFT JOIN doc USING (rid)
 """
 
 

@@ -1,13 +1,16 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule rejects texts whose score exceeds a cutoff.  For every stratum (language) and rule
-the cutoffs of a grid are tested in order, from the one that rejects least: a cutoff passes if
-the exact binomial probability of seeing so few rejected good texts among the labelled ones,
-were the true share ALPHA / rules, is at most DELTA / (rules * strata).  Testing stops at the
-first failure, so each chosen cutoff is valid at once with all others (fixed sequence within a
-rule, Bonferroni across rules and strata): with confidence 1 - DELTA no stratum loses more than
-ALPHA of its good texts.  Of the cutoffs passed, the mildest that still rejects as many of the
-labelled bad texts as the strictest does is taken.
+Each rule rejects texts whose score exceeds a cutoff.  For every stratum (language) the cutoffs
+of all rules move together along one ladder, which is laid out before any test: a score step of
+a rule comes the earlier, the larger the share of labelled bad texts among all texts outside
+the holdout that reach the step.  The holdout is three quarters of the labelled good texts.
+Rungs are tested in order, from the one that rejects least: a rung passes if the exact binomial
+probability of seeing so few rejected texts of the holdout, were the true share of good texts
+rejected by any rule ALPHA, is at most DELTA / strata.  Testing stops at the first failure, so
+each chosen rung is valid at once with all others (fixed sequence within a stratum, Bonferroni
+across strata): with confidence 1 - DELTA no stratum loses more than ALPHA of its good texts.
+Of the rungs passed, the mildest that still rejects as many of the labelled bad texts as the
+strictest does is taken.
 """
 
 from __future__ import annotations
@@ -111,48 +114,66 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, float(np.exp(top) * np.exp(logs - top).sum()))
 
 
-def choose_cutoff(good: np.ndarray, bad: np.ndarray, alpha: float, delta: float) -> int:
-    """The cutoff for one rule and stratum, from counts by grid step; GRID + 1 rejects nothing.
+def ladder(rest: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """The risk of each grid step of one rule, from counts by step of the texts outside the holdout and of the bad ones among them.
 
-    ``good[s]`` and ``bad[s]`` are the labelled texts whose score lies in step s.
+    The risk is the share of bad texts, in millionths, among those that reach the step, or the
+    largest such share of an earlier step.
     """
-    n = int(good.sum())
-    passed = []
-    for cutoff in range(GRID, 0, -1):
-        if not n or binomial_tail(int(good[cutoff + 1 :].sum()), n, alpha) > delta:
+    tails = [np.cumsum(x[::-1])[::-1] for x in (rest, bad)]
+    return np.maximum.accumulate(tails[1] * 1_000_000 // np.maximum(tails[0], 1))
+
+
+def choose_rung(risk: np.ndarray, good: np.ndarray, bad: np.ndarray, alpha: float, delta: float) -> int | None:
+    """The least risk that is rejected, from counts of holdout and bad texts by risk; None rejects nothing."""
+    n, passed = int(good.sum()), []
+    for level in np.unique(risk)[::-1].tolist():
+        if not n or binomial_tail(int(good[risk >= level].sum()), n, alpha) > delta:
             break
-        passed.append(cutoff)
+        passed.append(level)
     if not passed:
-        return GRID + 1
-    most = bad[passed[-1] + 1 :].sum()
-    return next(c for c in passed if bad[c + 1 :].sum() == most)
+        return None
+    most = bad[risk >= passed[-1]].sum()
+    return next(level for level in passed if bad[risk >= level].sum() == most)
 
 
 def cutoffs(measured: DataFrame, names: list[str], labels: DataFrame, id_col: str, stratum_col: str, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, one cutoff a rule) for every stratum with labelled texts.
+    """(stratum, one cutoff a rule) for every stratum with texts.
 
     A text with several labels is good only if all say so; a null label doesn't count.  Texts
-    that fail the base limits are no part of the holdout, as the rules never decide on them.
-    Only counts by stratum, rule and grid step leave the tasks.
+    that fail the base limits have no part, as the rules never decide on them.  Good texts whose
+    id's MD5 starts with 0 to 3 lay out the ladder with all other texts, the rest are the
+    holdout.  Only counts by stratum and combination of grid steps leave the tasks.
     """
-    verdict = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    verdict = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("labelled")).agg(F.min("quality").alias("quality"))
     steps = scores(names)
-    held = measured.filter(~base_failed(names)).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), *(s.alias(r) for r, s in steps.items()))
-    held = held.join(verdict, "doc_id")
-    melted = held.select("stratum", "quality", F.posexplode(F.array(*RULES)).alias("rule", "step"))
-    table = stage(melted.groupBy("stratum", "rule", "step").agg(F.sum(F.when(F.col("quality") > 0, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("quality") > 0, 0).otherwise(1)).alias("bad")), "holdout")
-    tests = max(1, table.select("stratum").distinct().count()) * len(RULES)
-
-    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+    texts = measured.filter(~base_failed(names)).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), *(s.alias(r) for r, s in steps.items()))
+    texts = texts.join(verdict, F.col("doc_id") == F.col("labelled"), "left")
+    holdout = F.coalesce((F.col("quality") > 0) & (F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) >= "4"), F.lit(False))
+    count = lambda which: F.sum(F.when(which, 1).otherwise(0))
+    table = stage(texts.groupBy("stratum", *RULES).agg(count(holdout).alias("good"), count(F.col("quality") <= 0).alias("bad"), count(~holdout).alias("rest")), "steps")
+    strata = max(1, table.filter("good > 0").select("stratum").distinct().count())
+    melted = table.select("stratum", "bad", "rest", F.posexplode(F.array(*RULES)).alias("rule", "step")).groupBy("stratum", "rule", "step").agg(F.sum("bad").alias("bad"), F.sum("rest").alias("rest"))
+
+    def lay_out(frame: pd.DataFrame) -> pd.DataFrame:
         row = {"stratum": frame["stratum"].iloc[0]}
         for k, rule in enumerate(RULES):
-            good, bad = np.zeros(GRID + 2, dtype=np.int64), np.zeros(GRID + 2, dtype=np.int64)
+            rest, bad = np.zeros(GRID + 2, dtype=np.int64), np.zeros(GRID + 2, dtype=np.int64)
             part = frame[frame["rule"] == k]
-            good[part["step"]], bad[part["step"]] = part["good"], part["bad"]
-            row[rule] = choose_cutoff(good, bad, alpha / len(RULES), delta / tests)
+            rest[part["step"]], bad[part["step"]] = part["rest"], part["bad"]
+            row[f"{rule}_risk"] = ladder(rest, bad)
         return pd.DataFrame([row])
 
-    return stage(table.groupBy("stratum").applyInPandas(choose, "stratum string, " + ", ".join(f"{r} int" for r in RULES)), "cutoffs")
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        found = choose_rung(*(frame[c].to_numpy() for c in ("risk", "good", "bad")), alpha, delta / strata)
+        return pd.DataFrame({"stratum": frame["stratum"].iloc[:1], "level": pd.array([found], "Int64")})
+
+    laid = stage(melted.groupBy("stratum").applyInPandas(lay_out, "stratum string, " + ", ".join(f"{r}_risk array<long>" for r in RULES)), "ladders")
+    risk = F.greatest(*(F.col(f"{r}_risk")[F.col(r)] for r in RULES))
+    by_risk = table.join(laid, "stratum").groupBy("stratum", risk.alias("risk")).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    rungs = by_risk.groupBy("stratum").applyInPandas(choose, "stratum string, level long")
+    below = lambda r: F.when(F.col("level").isNull(), GRID + 1).otherwise(F.size(F.filter(f"{r}_risk", lambda x: x < F.col("level"))) - 1)
+    return stage(laid.join(rungs, "stratum").select("stratum", *(below(r).cast("int").alias(r) for r in RULES)), "cutoffs")
 
 
 def base_failed(names: list[str]) -> F.Column:
@@ -161,7 +182,7 @@ def base_failed(names: list[str]) -> F.Column:
 
 
 def judge(measured: DataFrame, names: list[str], chosen: DataFrame, stratum_col: str, kept_col: str) -> DataFrame:
-    """``measured`` with the verdict; a stratum without labels has no cutoffs and loses base failures only."""
+    """``measured`` with the verdict; a stratum without labels loses base failures only."""
     stratum, *limits = fresh(measured, "__stratum", *(f"__{r}" for r in RULES))
     chosen = chosen.select(F.col("stratum").alias(stratum), *(F.col(r).alias(x) for r, x in zip(RULES, limits)))
     small = chosen.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA

@@ -40,20 +40,68 @@ def test_binomial_tail_is_exact():
         assert abs(Q.binomial_tail(k, n, p) - want) < 1e-9
 
 
-def test_cutoffs_are_risk_controlled():
+def test_rungs_are_risk_controlled():
     import numpy as np
 
-    good, bad = np.zeros(Q.GRID + 2, int), np.zeros(Q.GRID + 2, int)
-    good[0], bad[15] = 5000, 300
-    assert Q.choose_cutoff(good, bad, 0.01, 0.003) == 14
-    good[12] = 200  # 4 % of the good texts: nothing at or below their step can be certified
-    assert Q.choose_cutoff(good, bad, 0.01, 0.003) == 14
-    good[16] = 200
-    assert Q.choose_cutoff(good, bad, 0.01, 0.003) == Q.GRID
-    assert Q.choose_cutoff(np.zeros(Q.GRID + 2, int), bad, 0.01, 0.003) == Q.GRID + 1
-    few = np.zeros(Q.GRID + 2, int)
-    few[0] = 20
-    assert Q.choose_cutoff(few, bad, 0.01, 0.003) == Q.GRID + 1
+    risk, good, bad = np.array([0, 10, 20, 30, 40]), np.array([5000, 0, 0, 0, 0]), np.array([0, 0, 0, 100, 200])
+    assert Q.choose_rung(risk, good, bad, 0.04, 0.0125) == 30  # the mildest that still catches all bad texts
+    good[4] = 100  # 2 % of the good texts: within the limit
+    assert Q.choose_rung(risk, good, bad, 0.04, 0.0125) == 30
+    good[3] = 150  # 5 % at or above 30
+    assert Q.choose_rung(risk, good, bad, 0.04, 0.0125) == 40
+    good[4] = 300
+    assert Q.choose_rung(risk, good, bad, 0.04, 0.0125) is None
+    assert Q.choose_rung(risk, np.zeros(5, int), bad, 0.04, 0.0125) is None
+    few = np.zeros(5, int)
+    few[0] = 100  # even without a rejected text, 107 do not tell 4 % from less at this confidence
+    assert Q.choose_rung(risk, few, bad, 0.04, 0.0125) is None
+    few[0] = 108
+    assert Q.choose_rung(risk, few, bad, 0.04, 0.0125) == 30
+
+
+def test_the_bound_holds_in_simulation():
+    """The share of holdouts that certify a rung whose true false rejection exceeds the limit stays below delta."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    risk, bad = np.arange(40), np.arange(40) * 10
+    weights = np.linspace(1, 0.02, 40)
+    weights /= weights.sum()
+    true = weights[::-1].cumsum()[::-1]  # true share of good texts at or above each risk
+    wrong = useful = 0
+    for _ in range(2000):
+        found = Q.choose_rung(risk, rng.multinomial(300, weights), bad, 0.04, 0.0125)
+        useful += found is not None
+        wrong += found is not None and true[found] > 0.04
+    assert wrong / 2000 <= 0.0125 + 0.005 and useful > 1000
+
+
+def test_ladder_by_definition():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rest = rng.integers(0, 9, Q.GRID + 2)
+    bad = rng.integers(0, rest + 1)
+    got = Q.ladder(rest, bad).tolist()
+    share = [int(bad[s:].sum()) * 1_000_000 // max(int(rest[s:].sum()), 1) for s in range(Q.GRID + 2)]
+    assert got == [max(share[: s + 1]) for s in range(Q.GRID + 2)]
+
+
+def test_labelled_bad_texts_go(spark):
+    """On the smallest tables with labels enough, the method rejects what the base limits do not."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    found = Q.quality_report(docs, labels).join(labels, "doc_id").filter("not base_failed").groupBy("quality", "kept").count().collect()
+    by = {(r.quality, r.kept): r["count"] for r in found}
+    assert by.get((0, False), 0) >= 20 and by.get((1, False), 0) <= Q.ALPHA * by[(1, True)]
+
+
+def test_very_long_text_and_ties(spark):
+    long = " ".join(f"w{i}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, long, "en"), (1, long, "en"), (2, "x\n" * 100_000, None)], "doc_id long, text string, lang string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = sorted((r.doc_id, r.n_words, r.n_dup_lines, r.kept) for r in Q.quality_report(docs, none).collect())
+    assert got == [(1, 400_000, 0, True), (1, 400_000, 0, True), (2, 100_000, 99_999, False)]
 
 
 def corpus(n=3000):
