@@ -5,8 +5,9 @@ from __future__ import annotations
 from kindred.functions.keys import GENERIC
 from kindred.functions.normalize import ADDR_ABBREV, LEGAL, PHONETIC_CLASSES, PHONETIC_DIGRAPHS, STOP, TLD_TAIL, WEB
 from kindred.operators.blocking import FALLBACK_CAP, PRIMARY_CAP
-from kindred.operators.features import JARO_WINKLER, NATIVE
+from kindred.operators.features import FUZZY, JARO_WINKLER, NATIVE, ORDER
 from kindred.operators.measure import SWEEP_CAPS
+from kindred.operators.retrieval import CUTOFF, TOP_K
 
 
 def _list(values) -> str:
@@ -58,7 +59,7 @@ def _name_core_ctes(source: str, n: str, to: str) -> str:
 _REC = """
 rec AS (
   SELECT CAST(1 + p_partkey % 3 AS INT) AS source, 'S' || CAST(1 + p_partkey % 3 AS VARCHAR) || '-' || CAST(p_partkey AS VARCHAR) AS entity_id,
-    CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' Inc.' ELSE upper(p_name) || ' SAS' END AS business_name,
+    CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || CASE WHEN p_partkey // 3 % 2 = 0 THEN '' ELSE ' Inc.' END ELSE upper(CASE WHEN p_partkey // 3 % 7 = 3 THEN p_name[2:] ELSE p_name END) || CASE WHEN p_partkey // 3 % 2 = 0 THEN '' ELSE ' SAS' END END AS business_name,
     CAST(p_size AS VARCHAR) || ' ' || p_brand || ' rd ' || lpad(CAST(p_partkey % 97 AS VARCHAR), 5, '0') AS business_address,
     p_type AS country, p_partkey, p_name, p_brand, p_type
   FROM part
@@ -115,7 +116,7 @@ def _pairs(names=tuple(_RULES), to: str = "cand") -> str:
 _TRUTH = """
 gt AS (
   SELECT DISTINCT l.entity_id AS s1_id, r.entity_id AS matched_id
-  FROM rec l JOIN rec r ON l.p_name = r.p_name AND l.p_brand = r.p_brand AND l.p_type = r.p_type WHERE l.source = 1 AND r.source > 1
+  FROM rec l JOIN rec r ON l.p_name = r.p_name AND l.p_type = r.p_type AND l.p_brand[-1] = r.p_brand[-1] WHERE l.source = 1 AND r.source > 1
 )"""
 _REGISTRY = "CASE WHEN starts_with(matched_id, 'S2-') THEN 's2' WHEN starts_with(matched_id, 'S3-') THEN 's3' ELSE 'unknown' END"
 _BUCKET = "CAST('0x' || md5({})[1:8] AS BIGINT)"
@@ -233,9 +234,90 @@ def _native() -> str:
     return ", ".join(f"{_as_float(found[k])} AS {k}" for k in NATIVE)
 
 
+def _one_jw(f: str) -> str:
+    return f"CASE WHEN l.{f} = '' AND r.{f} = '' THEN 1.0 WHEN l.{f} = '' OR r.{f} = '' THEN 0.0 ELSE jaro_winkler_similarity(l.{f}, r.{f}) END"
+
+
 def _jw() -> str:
-    one = lambda f: f"CASE WHEN l.{f} = '' AND r.{f} = '' THEN 1.0 WHEN l.{f} = '' OR r.{f} = '' THEN 0.0 ELSE jaro_winkler_similarity(l.{f}, r.{f}) END"
-    return ", ".join(f"{_as_float(one(f))} AS {k}" for k, f in JARO_WINKLER.items())
+    return ", ".join(f"{_as_float(_one_jw(f))} AS {k}" for k, f in JARO_WINKLER.items())
+
+
+# ---- scorers, from the longest common subsequence ----
+
+
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence: the bits of a row that fall as the characters of b pass over a."""
+    hit = f"coalesce(list_sum(list_transform(range(0, length({a})), lambda i: CASE WHEN ({a})[i + 1] = c THEN CAST(pow(2, i) AS HUGEINT) ELSE 0 END)), 0)::HUGEINT"
+    masks = f"list_transform(list_filter(string_split({b}, ''), lambda c: c <> ''), lambda c: {hit})"
+    full = f"(CAST(pow(2, length({a})) AS HUGEINT) - 1)"
+    return f"(length({a}) - bit_count(list_reduce({masks}, lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full}, {full})))"
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"(CASE WHEN length({a}) + length({b}) = 0 THEN 1.0 ELSE 2.0 * {_lcs(a, b)} / (length({a}) + length({b})) END)"
+
+
+def _partial(a: str, b: str) -> str:
+    """The best ratio of the shorter string and a window of the longer, windows being cut at either end."""
+
+    def best(x: str, y: str) -> str:
+        windows = f"list_concat(list_transform(range(1, length({x})), lambda k: ({y})[1:k]), list_transform(range(0, length({y}) - length({x}) + 1), lambda k: ({y})[k + 1:k + length({x})]), list_transform(range(1, length({x})), lambda k: ({y})[length({y}) - k + 1:]))"
+        return f"list_max(list_transform(list_distinct({windows}), lambda w: {_ratio(x, 'w')}))"
+
+    return f"""(CASE WHEN {a} = '' OR {b} = '' THEN CAST({a} = {b} AS DOUBLE) WHEN length({a}) = length({b}) THEN greatest({best(a, b)}, {best(b, a)})
+  WHEN length({a}) < length({b}) THEN {best(a, b)} ELSE {best(b, a)} END)"""
+
+
+def _scored(source: str, *names: str) -> str:
+    """CTEs that add the named scores to the distinct strings (a, b) of ``source``."""
+    joint = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    gap = "CAST(common <> '' AS INT)"
+    shared, first, second = "length(common)", f"(length(common) + {gap} + length(l))", f"(length(common) + {gap} + length(r))"
+    token_set = f"""CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0 WHEN common <> '' AND (l = '' OR r = '') THEN 1.0 ELSE greatest(
+  1 - (length(l) + length(r) - 2 * {_lcs("l", "r")}) / CAST({first} + {second} AS DOUBLE),
+  CASE WHEN common <> '' THEN 1 - (1 + length(l)) / CAST({shared} + {first} AS DOUBLE) ELSE 0 END, CASE WHEN common <> '' THEN 1 - (1 + length(r)) / CAST({shared} + {second} AS DOUBLE) ELSE 0 END) END"""
+    scores = {"plain": _ratio("a", "b"), "token_sort": _ratio("sa", "sb"), "token_set": token_set, "part": _partial("a", "b"), "part_token": f"CASE WHEN common <> '' THEN 1.0 ELSE greatest({_partial('sa', 'sb')}, {_partial('l', 'r')}) END"}
+    empty = lambda e: f"CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 ELSE {e} END"
+    return f"""
+{source}_w AS (SELECT a, b, {_toks("a")} AS ta, {_toks("b")} AS tb, {joint("ta")} AS sa, {joint("tb")} AS sb, {joint("list_intersect(list_distinct(ta), list_distinct(tb))")} AS common,
+  {joint("list_distinct(list_filter(ta, lambda x: NOT list_contains(tb, x)))")} AS l, {joint("list_distinct(list_filter(tb, lambda x: NOT list_contains(ta, x)))")} AS r FROM {source}),
+{source}_s AS (SELECT a, b, {", ".join(f"{empty(scores[n])} AS {n}" for n in names)} FROM {source}_w)"""
+
+
+_SCORE_NAMES = {"token_sort": "token_sort", "token_set": "token_set", "partial": "part"}
+_TEXT_PAIRS = f"""
+txt AS (SELECT DISTINCT a, b FROM (SELECT l.n_norm AS a, r.n_norm AS b {_JOINED} UNION ALL SELECT l.a_norm, r.a_norm {_JOINED})),
+{_scored("txt", *_SCORE_NAMES.values())}"""
+_WITH_SCORES = f"{_JOINED} JOIN txt_s xn ON xn.a = l.n_norm AND xn.b = r.n_norm JOIN txt_s xa ON xa.a = l.a_norm AND xa.b = r.a_norm"
+
+
+def _fuzzy() -> str:
+    return ", ".join(f"{_as_float(('xn.' if f == 'n_norm' else 'xa.') + _SCORE_NAMES[how])} AS {k}" for k, (how, f) in FUZZY.items())
+
+
+def _all_features() -> str:
+    """The 37 features; three of them follow from others."""
+    jw = {k: f"CAST({_one_jw(f)} AS FLOAT)" for k, f in JARO_WINKLER.items()}
+    mixed = {
+        "name_addr_avg": _as_float(f"({jw['name_jw']} + {jw['addr_jw']}) / 2"),
+        "name_core_skeleton_agree": _as_float(f"CAST({jw['name_skeleton_sim']} > CAST(0.85 AS FLOAT) AS INT)"),
+        "name_and_addr_strong": _as_float("CAST(CAST(xn.token_sort AS FLOAT) >= CAST(0.9 AS FLOAT) AND CAST(xa.token_sort AS FLOAT) >= CAST(0.7 AS FLOAT) AS INT)"),
+    }
+    return f"""{_with(_NORM, _TRAIN, _PROFILE, _TEXT_PAIRS)},
+each AS (SELECT p.s1_id, p.matched_id, {_native()}, {_jw()}, {_fuzzy()}, {", ".join(f"{v} AS {k}" for k, v in mixed.items())} {_WITH_SCORES})
+SELECT s1_id, matched_id, {", ".join(ORDER)} FROM each"""
+
+
+def _fuzzy_top() -> str:
+    spread = "(greatest(length(a), length(b)) / CAST(least(length(a), length(b)) AS DOUBLE))"
+    scale = f"(CASE WHEN {spread} <= 8 THEN 0.9 ELSE 0.6 END)"
+    weighted = f"CASE WHEN {spread} < 1.5 THEN greatest(plain, 0.95 * greatest(token_sort, token_set)) ELSE greatest(plain, {scale} * part, 0.95 * {scale} * part_token) END"
+    return f"""{_with(_REC)},
+cl AS (SELECT source, entity_id, p_partkey, trim(regexp_replace(lower(business_name), '[^a-z0-9]+', ' ', 'g')) AS t FROM rec),
+qt AS (SELECT q.entity_id AS s1_id, x.entity_id AS matched_id, q.t AS a, x.t AS b FROM cl q, cl x WHERE q.source = 1 AND q.p_partkey % 20 = 0 AND x.source > 1 AND q.t <> '' AND x.t <> ''),
+two AS (SELECT DISTINCT a, b FROM qt),{_scored("two", "plain", "token_sort", "token_set", "part", "part_token")},
+sc AS (SELECT s1_id, matched_id, round(100 * ({weighted}), 6) AS score FROM qt JOIN two_s USING (a, b))
+SELECT s1_id, matched_id, score FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, matched_id) AS k FROM sc WHERE score >= {CUTOFF}) WHERE k <= {TOP_K}"""
 
 
 _PROXY = f"""
@@ -311,12 +393,13 @@ SELECT country, entity_id FROM r JOIN q USING (country) WHERE k <= least(n, grea
 def oracles() -> dict[str, str]:
     norm, rec = _with(_NORM), _with(_REC)
     keyed = lambda select: f"{norm} SELECT entity_id, {select} FROM norm"
-    narrow = _pairs(("name_street", "last_street"), "narrow")
     dedup_docs = "WITH d0 AS (SELECT doc_id, " + _toks(_n("text")) + " AS t FROM documents), d1 AS (SELECT doc_id, list_filter(t, lambda x, i: i = 1 OR x <> t[i - 1]) AS t FROM d0), c AS (SELECT doc_id, w, count(*) AS k FROM (SELECT doc_id, unnest(t) AS w FROM d1) GROUP BY ALL), m AS (SELECT doc_id, list(w) AS twice FROM c WHERE k > 1 GROUP BY doc_id), e AS (SELECT d1.doc_id, t, list_filter(t, lambda x: NOT list_contains(coalesce(twice, []), x)) AS once FROM d1 LEFT JOIN m USING (doc_id))"
     core_docs = _name_core_ctes("d", "n", "dc")
     found = {
         "norm_fold": "SELECT doc_id, lower(strip_accents(text)) AS value FROM documents",
         "norm_translit": _docs("n"),
+        # worked out by hand, letter by letter
+        "norm_indic": "SELECT CAST(id AS INT) AS id, value FROM (VALUES (0, 'bhaarata'), (1, 'sanskrita'), (2, 'ka la'), (3, '१२'), (4, 'dillee'), (5, 'mumbaai'), (6, 'chennai'), (7, 'kannada'), (8, 'telugu'), (9, 'gujaraata'), (10, 'pa jaaba'), (11, 'tata raama co'), (12, 'duhkha'), (13, '')) v(id, value)",
         "normalize": _docs("n"),
         "token_dedup": dedup_docs + " SELECT doc_id, array_to_string(CASE WHEN len(once) > 0 THEN once ELSE t END, ' ') AS value FROM e",
         "name_core": f"WITH d AS (SELECT doc_id, {_n('text')} AS n FROM documents),{core_docs} SELECT doc_id, n_core AS value FROM dc",
@@ -328,6 +411,8 @@ def oracles() -> dict[str, str]:
         "informative_tokens": f"WITH d AS (SELECT doc_id, {_addr_core(_n('text'))} AS a_core FROM documents) SELECT doc_id, array_to_string(list_sort({_INFORMATIVE}), ' ') AS value FROM d",
         "normalize_records": f"{norm} SELECT source, entity_id, country, business_name, business_address, n_core, n_ph, n_sk, a_core FROM norm",
         "scan_tsv": f"{rec} SELECT entity_id, business_name, business_address, country FROM rec",
+        "scan_filled": f"{rec} SELECT entity_id, business_name, business_address, CASE WHEN p_partkey % 10 = 0 THEN '' ELSE country END AS country FROM rec",
+        "scan_ids": f"{rec} SELECT entity_id AS id FROM rec",
         "scan_project": "SELECT p_partkey, p_name FROM part",
         "count_rows": "SELECT count(*) AS n_rows FROM part",
         "filter_prefix": f"{rec} SELECT entity_id, business_name FROM rec WHERE starts_with(entity_id, 'S2-')",
@@ -359,15 +444,15 @@ def oracles() -> dict[str, str]:
         "proportional_sample": _sampled(),
         "train_val_split": f"{_with(_NORM, _TRAIN)} SELECT s1_id, matched_id, CAST({_BUCKET.format('s1_id')} % 5 = 0 AS INT) AS is_validation FROM train",
         "class_balance": f"{_with(_NORM, _TRAIN)} SELECT positives, negatives, round(greatest(1.0, CAST(negatives AS DOUBLE) / greatest(positives, 1)), 6) AS scale_pos_weight FROM (SELECT count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives FROM train)",
-        "missing_positives": f"{_with(_NORM, _TRUTH, narrow)} SELECT s1_id, matched_id FROM gt EXCEPT SELECT s1_id, matched_id FROM narrow",
-        "candidate_recall": f"{_with(_NORM, _TRUTH, narrow)}, asked AS (SELECT * FROM gt) {_recall('narrow')}",
+        "missing_positives": f"{_with(_NORM, _TRUTH, _pairs())} SELECT s1_id, matched_id FROM gt EXCEPT SELECT s1_id, matched_id FROM cand",
+        "candidate_recall": f"{_with(_NORM, _TRUTH, _pairs())}, asked AS (SELECT * FROM gt) {_recall('cand')}",
         "enrich_pairs": f"{_with(_NORM, _TRUTH)} SELECT s1_id, matched_id, {', '.join(f'l.{c} AS {c}, r.{c} AS {c}_r' for c in _ENRICHED)} FROM gt JOIN norm l ON l.entity_id = s1_id JOIN norm r ON r.entity_id = matched_id",
         "signal_coverage": _signal_rows(),
         "block_size_sweep": _sweep(),
         "addr_index": f"{_with(_NORM, _ADDRESS)} SELECT key, matched_id FROM idx",
         "addr_token_hits": f"{_with(_NORM, _ADDRESS)} SELECT key, s1_id, matched_id FROM hit",
         "addr_token_overlap": f"{_with(_NORM, _ADDRESS)} SELECT * FROM over",
-        "addr_topk": f"{_with(_NORM, _ADDRESS)} SELECT s1_id, matched_id, token_overlap FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY token_overlap DESC, matched_id) AS r FROM over) WHERE r <= 10",
+        "addr_topk": f"{_with(_NORM, _ADDRESS)} SELECT s1_id, matched_id, token_overlap FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY token_overlap DESC, matched_id) AS r FROM over) WHERE r <= {TOP_K}",
         "addr_overlap2": f"{_with(_NORM, _TRUTH)} SELECT * FROM (SELECT s1_id, matched_id, len(list_intersect({_side(_LONG, 'l')}, {_side(_LONG, 'r')})) AS shared FROM gt JOIN norm l ON l.entity_id = s1_id JOIN norm r ON r.entity_id = matched_id) WHERE shared >= 2",
         "tfidf_fit": f"{_with(_NORM, _grams('n_core', False))} SELECT g AS gram, df, round(idf, 6) AS idf FROM voc",
         "tfidf_sublinear": f"{_with(_NORM, _grams('n_core', True))} SELECT entity_id AS id, g AS gram, round(w, 6) AS w FROM wt WHERE source > 1",
@@ -376,6 +461,9 @@ def oracles() -> dict[str, str]:
         "retrieval_recall": f"{_with(_NORM, _TRUTH, _grams('a_core', True), _TOP)}, asked AS (SELECT * FROM gt WHERE s1_id IN (SELECT entity_id FROM rec WHERE p_partkey % 20 = 0)) {_recall('best')}",
         "pair_features_native": f"{_with(_NORM, _TRAIN, _PROFILE)} SELECT p.s1_id, p.matched_id, {_native()} {_JOINED}",
         "pair_features_jw": f"{_with(_NORM, _TRAIN, _PROFILE)} SELECT p.s1_id, p.matched_id, {_jw()} {_JOINED}",
+        "pair_features_fuzzy": f"{_with(_NORM, _TRAIN, _PROFILE, _TEXT_PAIRS)} SELECT p.s1_id, p.matched_id, {_fuzzy()} {_WITH_SCORES}",
+        "pair_features_all": _all_features(),
+        "fuzzy_topk": _fuzzy_top(),
         "threshold_sweep": f"""{_with(_NORM, _TRAIN, _PROFILE, _PROXY)},
 t AS (SELECT CAST(step AS INT) AS step, (5 + step) / 100.0 AS threshold FROM range(91) x(step)),
 c AS (SELECT step, threshold, count(*) FILTER (WHERE label = 1 AND score >= threshold - 1e-9) AS tp, count(*) FILTER (WHERE label = 0 AND score >= threshold - 1e-9) AS fp, count(*) FILTER (WHERE label = 1 AND score < threshold - 1e-9) AS fn FROM t, proxy GROUP BY ALL),
@@ -387,6 +475,21 @@ e AS (SELECT x.s1_id, (SELECT count(*) FROM ok WHERE ok.s1_id = x.s1_id) AS np,
 m AS (SELECT np, nt, {_share("tp", "np")} AS p, {_share("tp", "nt")} AS r FROM e)
 SELECT count(*) AS entities, round(avg(CASE WHEN np = 0 AND nt = 0 THEN 1.0 ELSE {_F05} END), 6) AS macro_f05 FROM m""",
         "result_lists": f"{_with(_NORM, _pairs(('name_postal',), 'one'), _lists('one', 'matched_entity_ids', 'res'))} SELECT * FROM res",
+        "result_file": f"{_with(_NORM, _pairs(('name_postal',), 'one'), _lists('one', 'matched_entity_ids', 'res'))} SELECT * FROM res",
+        "validate_rows": f"{rec} SELECT entity_id || chr(9) || country || chr(9) AS value FROM rec WHERE p_partkey % 7 = 0",
+        "validate_summary": f"""{_with(_FLAWED, _pairs(("name_postal",), "np"))},
+one AS (SELECT source1_entity_id, unnest({_IDS}) AS id FROM flawed),
+row_ AS (SELECT row_number() OVER () AS r, source1_entity_id, matched_entity_ids FROM flawed),
+extra AS (SELECT DISTINCT r, source1_entity_id FROM (SELECT r, source1_entity_id, unnest({_IDS}) AS id FROM row_) o WHERE NOT EXISTS (SELECT 1 FROM np WHERE np.s1_id = o.source1_entity_id AND np.matched_id = o.id)),
+found AS (
+  SELECT 'duplicate_rows' AS problem, source1_entity_id AS example FROM flawed GROUP BY source1_entity_id HAVING count(*) > 1
+  UNION ALL SELECT 'duplicate_ids', source1_entity_id FROM flawed WHERE len({_IDS}) <> len(list_distinct({_IDS}))
+  UNION ALL SELECT CASE WHEN starts_with(id, 'S1-') THEN 'self_match' ELSE 'bad_prefix' END, id FROM one WHERE NOT starts_with(id, 'S2-') AND NOT starts_with(id, 'S3-')
+  UNION ALL SELECT 'missing', s1_id FROM ({_ENTITIES}) WHERE s1_id NOT IN (SELECT source1_entity_id FROM flawed)
+  UNION ALL SELECT DISTINCT 'unknown', source1_entity_id FROM flawed WHERE source1_entity_id NOT IN ({_ENTITIES})
+  UNION ALL SELECT 'unknown_ids', id FROM one WHERE id NOT IN (SELECT entity_id FROM rec)
+  UNION ALL SELECT 'not_candidates', source1_entity_id FROM extra)
+SELECT problem AS "check", count(*) AS problems, min(example) AS first FROM found GROUP BY ALL""",
         "validate_missing": f"{_with(_FLAWED)} SELECT s1_id AS source1_entity_id, 'missing' AS problem FROM ({_ENTITIES}) WHERE s1_id NOT IN (SELECT source1_entity_id FROM flawed) UNION ALL SELECT DISTINCT source1_entity_id, 'unknown' FROM flawed WHERE source1_entity_id NOT IN ({_ENTITIES})",
         "validate_dupes": f"{_with(_FLAWED)} SELECT source1_entity_id, count(*) AS n FROM flawed GROUP BY ALL HAVING count(*) > 1",
         "validate_repeats": f"{_with(_FLAWED)} SELECT DISTINCT source1_entity_id, CAST(len({_IDS}) - len(list_distinct({_IDS})) AS INT) AS repeats FROM flawed WHERE len({_IDS}) <> len(list_distinct({_IDS}))",

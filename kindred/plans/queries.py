@@ -10,14 +10,12 @@ from pyspark.sql import functions as F
 from kindred.functions import keys as K
 from kindred.functions import normalize as N
 from kindred.operators import blocking, features, labels, measure, model, retrieval, validate
-from kindred.sources.adapters import normalized_parts, part_records, part_truth, table
-from kindred.sources.records import read_tsv
-from kindred.sources.scratch import cached_stage, new_folder
+from kindred.sources.adapters import indic_names, normalized_parts, part_records, part_truth, table
+from kindred.sources.records import RECORD, read_ids, read_result_lists, read_tsv, read_tsv_filled, write_result_lists
+from kindred.sources.scratch import cached_path, cached_stage, new_folder
 
 #: Searches take every record of the first registry whose part number is divisible by this as a query.
 QUERY_EVERY = 20
-#: Boosting of the registered model queries, sized for a test table.
-ROUNDS, DEPTH = 10, 4
 
 
 def is_query() -> Column:
@@ -52,6 +50,10 @@ def norm_translit(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", N.indic_normalize(F.col("text")).alias("value"))
 
 
+def norm_indic(spark, sf_dir):
+    return N.with_normalized(indic_names(spark), {"value": "name"}).select("id", "value")
+
+
 def token_dedup(spark, sf_dir):
     return N.with_dedup(_normalized_docs(spark, sf_dir), "value", "n").select("doc_id", "value")
 
@@ -90,6 +92,20 @@ def scan_tsv(spark, sf_dir):
     return read_tsv(spark, path)
 
 
+def scan_filled(spark, sf_dir):
+    """The same with some countries missing, read with empty strings in their place."""
+    path = new_folder(spark, "registry")
+    some = F.when(F.col("p_partkey") % 10 != 0, F.col("country")).alias("country")
+    part_records(spark, sf_dir).select("entity_id", "business_name", "business_address", some).write.option("sep", "\t").option("header", True).csv(path)
+    return read_tsv_filled(spark, path, RECORD)
+
+
+def scan_ids(spark, sf_dir):
+    path = new_folder(spark, "ids")
+    part_records(spark, sf_dir).select("entity_id", "business_name").write.option("sep", "\t").option("header", True).csv(path)
+    return read_ids(spark, path)
+
+
 def scan_project(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
@@ -190,17 +206,12 @@ def class_balance(spark, sf_dir):
     return _rounded(measure.class_balance(training_set(spark, sf_dir)), "scale_pos_weight")
 
 
-def _narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of the street rules only, which miss some true pairs."""
-    return blocking.candidates(normalized_parts(spark, sf_dir), ["name_street", "last_street"])
-
-
 def missing_positives(spark, sf_dir):
-    return measure.missing(gt_pairs(spark, sf_dir), _narrow(spark, sf_dir))
+    return measure.missing(gt_pairs(spark, sf_dir), candidates_all(spark, sf_dir))
 
 
 def candidate_recall(spark, sf_dir):
-    return _rounded(measure.recall(gt_pairs(spark, sf_dir), _narrow(spark, sf_dir)), "recall")
+    return _rounded(measure.recall(gt_pairs(spark, sf_dir), candidates_all(spark, sf_dir)), "recall")
 
 
 def enrich_pairs(spark, sf_dir):
@@ -298,27 +309,32 @@ def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached_stage(spark, sf_dir, "features", lambda: features.all_features(rows, normalized_parts(spark, sf_dir), keep=("label", "is_validation")))
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _feature_table(spark, sf_dir)
-    return model.score(model.train(rows, rounds=ROUNDS, depth=DEPTH), rows)
+def _model(spark: SparkSession, sf_dir: str):
+    """The trained model and its threshold, saved on first use and loaded."""
+
+    def train(path: str) -> None:
+        rows = _feature_table(spark, sf_dir)
+        trained = model.train(rows)
+        model.save(trained, model.choose_threshold(model.score(trained, rows.filter("is_validation"))), path)
+
+    return model.load(cached_path(spark, sf_dir, "model", train))
 
 
 def train_gbt(spark, sf_dir):
     """The importance that the trained trees give each feature."""
-    rows = _feature_table(spark, sf_dir)
-    trees = model.train(rows, rounds=ROUNDS, depth=DEPTH).stages[1]
+    trees = _model(spark, sf_dir)[0].stages[1]
     found = [(name, float(trees.featureImportances[i])) for i, name in enumerate(features.ORDER)]
     return spark.createDataFrame(found, "feature string, importance double")
 
 
 def score_pairs(spark, sf_dir):
-    return _scored(spark, sf_dir).select("s1_id", "matched_id", F.col("label").cast("int").alias("label"), F.round("score", 6).alias("score"))
+    scored = model.score(_model(spark, sf_dir)[0], _feature_table(spark, sf_dir))
+    return scored.select("s1_id", "matched_id", F.col("label").cast("int").alias("label"), F.round("score", 6).alias("score"))
 
 
 def predict_matches(spark, sf_dir):
-    scored = _scored(spark, sf_dir).select("s1_id", "matched_id", "label", "is_validation", "score")
-    threshold = model.choose_threshold(scored.filter("is_validation"))
-    return validate.result_lists(model.accept(scored, threshold), _entities(spark, sf_dir))
+    trained, threshold = _model(spark, sf_dir)
+    return validate.result_lists(model.accept(model.score(trained, _feature_table(spark, sf_dir)), threshold), _entities(spark, sf_dir))
 
 
 def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +361,21 @@ def result_lists(spark, sf_dir):
     return validate.result_lists(blocking.candidates(normalized_parts(spark, sf_dir), ["name_postal"]), _entities(spark, sf_dir))
 
 
+def result_file(spark, sf_dir):
+    """The lists written as the one output file and read back."""
+    path = new_folder(spark, "results")
+    write_result_lists(result_lists(spark, sf_dir), path)
+    return read_result_lists(spark, path)
+
+
+def validate_rows(spark, sf_dir):
+    """Lines of a written file that do not have two fields: every seventh part adds a third."""
+    path = new_folder(spark, "lines")
+    more = F.when(F.col("p_partkey") % 7 == 0, F.lit("\t")).otherwise(F.lit(""))
+    part_records(spark, sf_dir).select(F.concat("entity_id", F.lit("\t"), "country", more).alias("value")).write.text(path)
+    return validate.malformed_rows(spark.read.text(path))
+
+
 def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result lists with planted faults: a row twice, an id twice, wrong prefixes, rows gone."""
     lists = validate.result_lists(blocking.candidates(normalized_parts(spark, sf_dir), ["addr_sig", "name_postal"]), _entities(spark, sf_dir))
@@ -380,6 +411,11 @@ def validate_subset(spark, sf_dir):
     return validate.not_candidates(_flawed(spark, sf_dir), narrow).distinct()
 
 
+def validate_summary(spark, sf_dir):
+    narrow = validate.result_lists(blocking.candidates(normalized_parts(spark, sf_dir), ["name_postal"]), _entities(spark, sf_dir), "candidate_entity_ids")
+    return validate.summary(_flawed(spark, sf_dir), _entities(spark, sf_dir), part_records(spark, sf_dir), narrow)
+
+
 def validate_counts(spark, sf_dir):
     return validate.counts(_flawed(spark, sf_dir))
 
@@ -402,13 +438,13 @@ _KEYS = {
 }
 
 _PLAIN = (
-    norm_fold, norm_translit, token_dedup, name_core, num_tokens, clean_text, informative_tokens, normalize_records, scan_tsv, scan_project, count_rows,
+    norm_fold, norm_translit, norm_indic, token_dedup, name_core, num_tokens, clean_text, informative_tokens, normalize_records, scan_tsv, scan_filled, scan_ids, scan_project, count_rows,
     filter_prefix, derive_source, limit_head, block_sizes, block_cap, candidates_all, distinct_pairs, union_all, gt_pairs, gt_semi_join,
     label_pairs, sort_labeled, negative_sample, topk_negatives, training_set, proportional_sample, train_val_split, class_balance,
     missing_positives, candidate_recall, enrich_pairs, signal_coverage, block_size_sweep, addr_index, addr_token_hits, addr_token_overlap,
     addr_topk, addr_overlap2, tfidf_fit, tfidf_sublinear, tfidf_topk, tfidf_topk_addr, fuzzy_topk, retrieval_recall, pair_features_native,
     pair_features_jw, pair_features_fuzzy, pair_features_all, train_gbt, score_pairs, predict_matches, threshold_sweep, macro_f05,
-    result_lists, validate_missing, validate_dupes, validate_repeats, validate_prefix, validate_unknown, validate_subset, validate_counts,
+    result_lists, result_file, validate_rows, validate_summary, validate_missing, validate_dupes, validate_repeats, validate_prefix, validate_unknown, validate_subset, validate_counts,
 )
 
 def queries() -> dict:

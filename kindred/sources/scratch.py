@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Stages written in this process: application, input folder and name to path.
-_STAGES: dict[tuple[str, str, str], str] = {}
+#: Stages written in this process: application, input files and name to path.
+_STAGES: dict[tuple[str, tuple, str], str] = {}
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
@@ -28,11 +28,25 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/kindred/{uuid.uuid4().hex}/{tag}"
 
 
-def cached_stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A pipeline stage as a Parquet table in a shared folder, built on first use in a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+def _contents(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the tables in a folder and of their files, through Hadoop's file system."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [x for t in fs.listStatus(where) for x in (fs.listStatus(t.getPath()) if t.isDirectory() else [t])]
+    return tuple(sorted((x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in files))
+
+
+def cached_path(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The shared folder that ``write`` filled on first use in a session, and again when the input has changed."""
+    key = (spark.sparkContext.applicationId, _contents(spark, sf_dir), name)
     if key not in _STAGES:
         path = new_folder(spark, name)
-        build().write.option("compression", "zstd").parquet(path)
+        write(path)
         _STAGES[key] = path
-    return spark.read.parquet(_STAGES[key])
+    return _STAGES[key]
+
+
+def cached_stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A pipeline stage as a Parquet table in a shared folder, see ``cached_path``."""
+    return spark.read.parquet(cached_path(spark, sf_dir, name, lambda path: build().write.option("compression", "zstd").parquet(path)))
