@@ -1,14 +1,16 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
-Vectors are centred, scaled to unit length and rotated at random; a code keeps one sign bit a
-dimension and two correction scalars, the vector's length and how well the signs align with
-it.  From them the inner product with a query is estimated together with a bound on its error.
+Vectors are centred, scaled to unit length and rotated at random, short ones into a space of
+BITS dimensions; a code keeps one sign bit a dimension and two correction scalars, the vector's
+length and how well the signs align with it.  Codes are written once and read by every pass.  From them the inner product with a query is estimated together with a bound on its error.
 A vector whose least possible distance exceeds the k-th smallest distance found so far is
 skipped; the rest are reranked by exact distances on the original vectors.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,6 +21,8 @@ from pyspark.sql.window import Window
 from kindred.llm.common import map_arrow, stage
 
 K = 10
+#: Bits of a code, unless vectors have more dimensions; the error falls with their square root.
+BITS = 256
 #: Bound of the estimate's error in standard deviations.
 EPSILON = 4.0
 #: Queries sent to the tasks at once; more go in further passes.
@@ -28,22 +32,25 @@ VECTOR_BLOCK = 8192
 SEED = 20_240_001
 
 
-def rotation(dim: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix, the same for a dimension everywhere."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+def rotation(dim: int, bits: int | None = None, seed: int = SEED) -> np.ndarray:
+    """The first ``dim`` rows of a random orthogonal matrix of the code's size, the same for a dimension everywhere."""
+    size = max(dim, bits or BITS)
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, size)))
+    return (q * np.sign(np.diag(r)))[:dim]
 
 
 class Codes:
-    """One-bit codes of a block of vectors."""
+    """One-bit codes of a block of vectors: packed signs, lengths and alignments."""
+
+    def __init__(self, bits: np.ndarray, length: np.ndarray, align: np.ndarray, dim: int):
+        self.bits, self.length, self.align, self.dim = bits, length, align, dim
 
-    def __init__(self, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray):
+    @classmethod
+    def of(cls, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> "Codes":
         moved = (vectors - centre) @ turn
-        self.dim = vectors.shape[1]
-        self.length = np.linalg.norm(moved, axis=1)
-        unit = moved / np.maximum(self.length, 1e-300)[:, None]
-        self.bits = np.packbits(moved > 0, axis=1)
-        self.align = np.abs(unit).sum(axis=1) / np.sqrt(self.dim)
+        length = np.linalg.norm(moved, axis=1)
+        unit = moved / np.maximum(length, 1e-300)[:, None]
+        return cls(np.packbits(moved > 0, axis=1), length, np.abs(unit).sum(axis=1) / np.sqrt(turn.shape[1]), turn.shape[1])
 
     def bounds(self, query: np.ndarray, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest likely squared distance to each of the rotated, centred ``query`` rows."""
@@ -64,15 +71,16 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dim)
 
 
-def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Euclidean distances, squares added from the first dimension to the last as any engine would."""
-    total = np.zeros(len(vectors))
-    for column in ((vectors - query) ** 2).T:
-        total += column
+def distances(columns: np.ndarray, some: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances of ``some`` vectors, given by dimension, squares added from the first dimension to the last as any engine would."""
+    total = np.zeros(len(some))
+    for column, x in zip(columns, query.tolist()):
+        apart = column[some] - x
+        total += apart * apart
     return np.sqrt(total)
 
 
-def nearest_in_block(ids: np.ndarray, vectors: np.ndarray, codes: Codes, q_ids: np.ndarray, queries: np.ndarray, turned: np.ndarray, limit: np.ndarray, k: int, distinct: bool, epsilon: float = EPSILON) -> list[tuple[int, int, float]]:
+def nearest_in_block(ids: np.ndarray, columns: np.ndarray, codes: Codes, q_ids: np.ndarray, queries: np.ndarray, turned: np.ndarray, limit: np.ndarray, k: int, distinct: bool, epsilon: float = EPSILON) -> list[tuple[int, int, float]]:
     """(query, id, distance) of up to ``k`` nearest distinct ids; ``limit`` holds and gets the k-th distances."""
     out = []
     low, high = codes.bounds(turned, epsilon)
@@ -84,7 +92,7 @@ def nearest_in_block(ids: np.ndarray, vectors: np.ndarray, codes: Codes, q_ids:
         near = near[ids[near] != q_id]
         if not len(near):
             continue
-        exact = distances(vectors[near], queries[i])
+        exact = distances(columns, near, queries[i])
         order = np.lexsort((ids[near], exact))
         found: dict[int, float] = {}
         for a, d in zip(ids[near][order].tolist(), exact[order].tolist()):
@@ -106,12 +114,21 @@ def usable(vectors: DataFrame, is_query, id_col: str, vec_col: str) -> tuple[Dat
     return rows.filter(F.size("v") == dim), dim
 
 
+def coded(dim: int, centre: np.ndarray, turn: np.ndarray, batches):
+    """Batches of (vec_id, v) with each vector's code."""
+    for batch in batches:
+        found = Codes.of(_matrix(batch.column(1), dim), centre, turn)
+        packed = pa.array([row.tobytes() for row in found.bits], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed, pa.array(found.length), pa.array(found.align)], names=["vec_id", "v", "bits", "length", "align"])
+
+
 def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, epsilon: float = EPSILON) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows of each query by Euclidean distance.
 
-    ``is_query`` is a condition on the rows.  Queries are sent to the tasks in blocks of about
-    ``QUERY_BLOCK``; each task codes its vectors block by block and returns ``k`` rows a query
-    at most, so what meets per query grows with the number of tasks only.  Vectors that are
+    ``is_query`` is a condition on the rows.  All vectors are coded once, in a table.  Queries
+    are sent to the tasks in blocks of about ``QUERY_BLOCK``; each task reads its codes block by
+    block and returns ``k`` rows a query at most, so what meets per query grows with the number
+    of tasks only.  Vectors that are
     null, zero, empty, of an odd dimension or hold a null or non-finite value take no part, nor
     do null ids.  Rows of one id count as that id's nearest one, and a query with several
     vectors keeps the smallest.  Ties go to the smaller id.  Fewer candidates give fewer rows,
@@ -127,6 +144,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     turn = rotation(dim)
     queries = stage(rows.filter("is_query").groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     blocks = -(-queries.count() // QUERY_BLOCK)
+    index = stage(map_arrow(rows.select("vec_id", "v"), partial(coded, dim, centre, turn), "vec_id long, v array<double>, bits binary, length double, align double"), "codes")
     found = None
     for block in range(blocks):
         part = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow()
@@ -140,19 +158,22 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
             best = None
             for batch in batches:
                 ids, m = batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
+                bits = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
+                length, align = batch.column(3).to_numpy(), batch.column(4).to_numpy()
                 for at in range(0, len(ids), VECTOR_BLOCK):
-                    block_ids, vectors = ids[at : at + VECTOR_BLOCK], m[at : at + VECTOR_BLOCK]
-                    codes, distinct = Codes(vectors, centre, turn), len(set(block_ids.tolist())) == len(block_ids)
+                    some = slice(at, at + VECTOR_BLOCK)
+                    block_ids, columns = ids[some], np.ascontiguousarray(m[some].T)
+                    codes, distinct = Codes(bits[some], length[some], align[some], turn.shape[1]), len(set(block_ids.tolist())) == len(block_ids)
                     got = []
                     for s in range(0, len(q_ids), 256):
                         some = slice(s, s + 256)
-                        got += nearest_in_block(block_ids, vectors, codes, q_ids[some], q[some], turned[some], limit[some], k, distinct, epsilon)
+                        got += nearest_in_block(block_ids, columns, codes, q_ids[some], q[some], turned[some], limit[some], k, distinct, epsilon)
                     best = pd.concat([best, pd.DataFrame(got, columns=["query_id", "vec_id", "score"])])
                     best = best.sort_values(["query_id", "score", "vec_id"]).drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
             if best is not None and len(best):
                 yield pa.RecordBatch.from_pandas(best.astype({"query_id": "int64", "vec_id": "int64", "score": "float64"}), preserve_index=False)
 
-        got = stage(map_arrow(rows.select("vec_id", "v"), search, "query_id long, vec_id long, score double"), "nearest")
+        got = stage(map_arrow(index, search, "query_id long, vec_id long, score double"), "nearest")
         found = got if found is None else found.unionByName(got)
     if found is None:
         return nothing

@@ -101,7 +101,7 @@ def test_bounds_hold(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("embedding").collect()
     m = np.array([r[0] for r in rows], dtype=float)
     centre, turn = m.mean(axis=0), ann.rotation(m.shape[1])
-    codes = ann.Codes(m, centre, turn)
+    codes = ann.Codes.of(m, centre, turn)
     low, high = codes.bounds((m[:40] - centre) @ turn)
     true = ((m[None] - m[:40, None]) ** 2).sum(axis=2)
     assert ((low <= true + 1e-6) & (true <= high + 1e-6)).mean() > 0.999
