@@ -1,10 +1,13 @@
-"""Byte-pair encoding of long unsplit text by tree concatenation, and decoding.
+"""Byte-pair encoding of long texts by tree concatenation, and decoding.
 
-A piece that the pre-tokenizer leaves whole may be very long.  It is cut in leaves that are
-encoded in parallel; neighbours are then joined pairwise, in a tree: a window around the join
-is encoded again, growing until it starts with ids of the left side and runs into ids of the
-right side, exactly.  A sequence whose neighbouring ids are each the encoder's own choice for
-their joint text is the encoding of the whole, so the agreement makes the join exact.
+A long text is cut in leaves, wherever that falls, which are encoded in parallel; neighbours
+are then joined pairwise, in a tree: a window around the join is encoded again, growing until
+it starts with ids of the left side and ends in ids of the right side, exactly.  Windows begin
+and end at blanks, where no piece goes on, so the agreement makes the join exact.
+
+A piece without a blank may be very long too.  It is cut into leaves of the symbols that the
+merges work on, and joined the same way: a sequence whose neighbouring ids are each the
+encoder's own choice for their joint text is the encoding of the whole.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,10 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import map_arrow, shuffle_partitions, stage
-from kindred.llm.tokens import batches_of, gather, without_memory
+from kindred.llm.tokens import batches_of, encoded, gather, without_memory
 
-#: Symbols (bytes) of a leaf; pieces of more than two leaves go through the tree.
+#: Code points of a text's leaf and symbols (bytes) of a piece's; texts and pieces of more than two leaves go through the tree.
 LEAF = 4096
+#: Words that the first window takes from either side, and kinds of parts.
+WORDS = 4
+IDS, PIECE, TEXT = range(3)
 #: Ids by which a window must agree with either side, and ids a side in the first window.
 AGREE, WINDOW = 4, 16
 #: Words encoded side by side in one string.
@@ -49,6 +56,7 @@ class WordBPE:
         self.bare = without_memory(path, normalizer=None, added_tokens=[], truncation=None, padding=None)
         self.model = self.bare.model
         self.suffix = self.model.end_of_word_suffix or ""
+        self.small = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         size = self.tok.get_vocab_size(with_added_tokens=False)
         self.lengths = np.array([len((self.bare.id_to_token(i) or "").removesuffix(self.suffix)) for i in range(size)], dtype=np.int64)
 
@@ -64,8 +72,7 @@ class WordBPE:
         the ids tell where each ends.
         """
         joined = [" ".join(words[i : i + BESIDE]) for i in range(0, len(words), BESIDE)]
-        runs = [np.array(e.ids, dtype=np.uint32) for e in self.bare.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.concatenate([*runs, np.empty(0, np.uint32)])
+        ids = np.concatenate([*encoded(self.bare, joined), np.empty(0, np.uint32)])
         size = np.asarray(pc.binary_length(pa.array(words, pa.string())), dtype=np.int64)
         reached = np.append(0, np.cumsum(self.lengths[ids]))
         ends = np.searchsorted(reached, np.cumsum(size))
@@ -167,6 +174,37 @@ class WordBPE:
             symbols = joint
         return leaves[0][0]
 
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that are encoded in one go."""
+        return [np.frombuffer(x, "<u4") for x in self.encode(texts, 1 << 62)]
+
+    def text_leaves(self, texts: list[str]) -> list["Leaf"]:
+        return [Leaf(ids, *_edges(self, text)) for ids, text in zip(self.whole(texts), texts)]
+
+    def join_text(self, left: "Leaf", right: "Leaf") -> "Leaf":
+        """The joint text of two encoded neighbours, encoded again in a window around the join."""
+        words = WORDS
+        while True:
+            a, b = _last_words(left.tail, words), _first_words(right.head, words)
+            most = a == left.tail and b == right.head
+            old_a, old_b, new = self.whole([a, b, a + b])
+            fits = np.array_equal(left.ids[len(left.ids) - len(old_a) :], old_a) and np.array_equal(right.ids[: len(old_b)], old_b)
+            starts = left.short and a == left.tail or len(old_a) >= AGREE and np.array_equal(new[:AGREE], old_a[:AGREE])
+            ends = right.short and b == right.head or len(old_b) >= AGREE and np.array_equal(new[len(new) - AGREE :], old_b[len(old_b) - AGREE :])
+            if fits and starts and ends:
+                break
+            if most:
+                raise ValueError("the two sides of a join do not agree")  # their leaves were not encoded by this tokenizer
+            words *= 2
+        ids = np.concatenate([left.ids[: len(left.ids) - len(old_a)], new, right.ids[len(old_b) :]])
+        return Leaf(ids, left.head + right.head if left.short else left.head, left.tail + right.tail if right.short else right.tail, left.short and right.short)
+
+    def text_tree(self, leaves: list["Leaf"]) -> np.ndarray:
+        """Joins neighbouring leaves pairwise until one sequence is left."""
+        while len(leaves) > 1:
+            leaves = [self.join_text(*leaves[k : k + 2]) if k + 1 < len(leaves) else leaves[k] for k in range(0, len(leaves), 2)]
+        return leaves[0].ids
+
     def decode(self, many: list[bytes]) -> list[str]:
         return self.tok.decode_batch([np.frombuffer(x, "<u4").tolist() for x in many], skip_special_tokens=False)
 
@@ -176,6 +214,47 @@ def word_bpe(path: str) -> WordBPE:
     return WordBPE(path)
 
 
+class Leaf(NamedTuple):
+    """A stretch of text: its ids, its first and last words, and whether these are each the whole stretch."""
+
+    ids: np.ndarray
+    head: str
+    tail: str
+    short: bool
+
+
+_BLANKS = " \n\t\r\x0b\x0c"
+
+
+def _first_words(text: str, n: int) -> str:
+    """The text up to a blank after ``n`` words, or all of it."""
+    found = re.match(r"(?:[\t-\r ]*+[^\t-\r ]++){%d}(?=[\t-\r ])" % n, text)
+    return text[: found.end()] if found else text
+
+
+def _last_words(text: str, n: int) -> str:
+    """The text from a blank before the last ``n`` words on, or all of it."""
+    at = len(text)
+    while n and at >= 0:
+        end = at
+        at = max(text.rfind(c, 0, at) for c in _BLANKS)
+        n -= end > at + 1
+    return text[max(at, 0) :]
+
+
+def _edges(bpe: WordBPE, text: str) -> tuple[str, str, bool]:
+    """First and last words with ids enough to agree, apart from the words at the very ends, which a cut may have split."""
+    words = 2 * WORDS
+    while True:
+        head, tail = _first_words(text, words), _last_words(text, words)
+        if head == text or tail == text:
+            return text, text, True
+        inner = [_last_words(head, words - 1), _first_words(tail, words - 1)]
+        if min(map(len, bpe.whole(inner))) >= 2 * AGREE:
+            return head, tail, False
+        words *= 2
+
+
 def _cut(symbols: str, leaf: int) -> list[str]:
     return [symbols[i : i + leaf] for i in range(0, len(symbols), leaf)]
 
@@ -191,23 +270,32 @@ def _digest(ids: list[bytes], texts: list[str]) -> list[list]:
 def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    A null text is an empty one; each repeated row gives a row.  Texts without a piece of more
-    than two leaves are done where they are read.  Of the others, leaves are dealt out over
-    all tasks and encoded; then each text's parts meet in one task, which joins the leaves.
-    No task holds more than its own texts.
+    A null text is an empty one; each repeated row gives a row.  An empty table gives none.
+    Texts of up to two leaves are done where they are read.  The leaves of longer texts, or of
+    their pieces if one is longer than two leaves, are dealt out over all tasks and encoded;
+    then each text's ids meet in one task, which joins them.  No task holds more than its own
+    texts.
     """
     limit = 2 * leaf
+    unbroken = re.compile(r"[^\t-\r ]{%d}" % max(1, limit // 4))  # four bytes a code point at most
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    first = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("leaf", pa.int32()), ("symbols", pa.string()), ("ids", pa.binary()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    ddl = "doc_id long, key long, part int, leaf int, symbols string, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    first = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("leaf", pa.int32()), ("kind", pa.int32()), ("symbols", pa.string()), ("ids", pa.binary()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    ddl = "doc_id long, key long, part int, leaf int, kind int, symbols string, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def encode(batches):
         bpe, key = word_bpe(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for at, texts in batches_of(batch.column(1)):
-                out, done, done_docs = [], [], []
-                for doc_id, found in zip(doc_ids[at:], bpe.encode(texts.to_pylist(), limit)):
+                out, done, done_docs, here, here_docs = [], [], [], [], []
+                for doc_id, text in zip(doc_ids[at:], texts.to_pylist()):
+                    if len(text) > limit and not unbroken.search(text):
+                        key += 1
+                        out += [(doc_id, key, 0, i, TEXT, s, None, None, None, None) for i, s in enumerate(_cut(text, leaf))]
+                    else:
+                        here.append(text)
+                        here_docs.append(doc_id)
+                for doc_id, found in zip(here_docs, bpe.encode(here, limit) if here else []):
                     key += 1
                     if isinstance(found, bytes):
                         done.append(found)
@@ -215,31 +303,43 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
                         continue
                     for k, part in enumerate(found):
                         if isinstance(part, str):
-                            out += [(doc_id, key, k, i, s, None, None, None, None) for i, s in enumerate(_cut(part, leaf))]
+                            out += [(doc_id, key, k, i, PIECE, s, None, None, None, None) for i, s in enumerate(_cut(part, leaf))]
                         else:
-                            out.append((doc_id, key, k, 0, None, part, None, None, None))
-                out += [(d, None, None, None, None, None, n, a, b) for d, n, a, b in zip(done_docs, *_digest(done, bpe.decode(done)))]
+                            out.append((doc_id, key, k, 0, IDS, None, part, None, None, None))
+                out += [(d, None, None, None, None, None, None, n, a, b) for d, n, a, b in zip(done_docs, *_digest(done, bpe.decode(done)))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), first)], schema=first)
 
     def encode_leaves(batches):
         bpe = word_bpe(tokenizer)
         for batch in batches:
-            ids, sizes = [], []
-            for symbols, old in zip(batch.column("symbols").to_pylist(), batch.column("ids").to_pylist()):
-                x, y = bpe.symbols(symbols) if symbols is not None else ([], [])
-                ids.append(old if symbols is None else np.array(x, "<u4").tobytes())
-                sizes.append(np.array(y, "<u4").tobytes())
-            kept = ["doc_id", "key", "part", "leaf", "symbols"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(ids, pa.binary()), pa.array(sizes, pa.binary())], names=[*kept, "ids", "sizes"])
+            kinds, symbols, ids = (batch.column(c).to_pylist() for c in ("kind", "symbols", "ids"))
+            texts = iter(bpe.text_leaves([s for k, s in zip(kinds, symbols) if k == TEXT]) if TEXT in kinds else [])
+            made = []
+            for kind, text, old in zip(kinds, symbols, ids):
+                if kind == TEXT:
+                    found = next(texts)
+                    made.append((None, found.ids.astype(bpe.small).tobytes(), None, found.head, None if found.short else found.tail))
+                elif kind == PIECE:
+                    x, y = bpe.symbols(text)
+                    made.append((text, np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes(), None, None))
+                else:
+                    made.append((None, old, None, None, None))
+            kept = ["doc_id", "key", "part", "leaf", "kind"]
+            types = (pa.string(), pa.binary(), pa.binary(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *(pa.array(c, t) for c, t in zip(zip(*made), types))], names=[*kept, "symbols", "ids", "sizes", "head", "tail"])
 
     def join_leaves(frame: pd.DataFrame) -> pd.DataFrame:
         bpe, got = word_bpe(tokenizer), []
         for _, part in frame.sort_values(["part", "leaf"]).groupby("part", sort=True):
-            if part["symbols"].iloc[0] is None:
+            kind = part["kind"].iloc[0]
+            if kind == IDS:
                 got.append(bytes(part["ids"].iloc[0]))
-            else:
+            elif kind == PIECE:
                 leaves = [(np.frombuffer(i, "<u4").tolist(), np.frombuffer(s, "<u4").tolist()) for i, s in zip(part["ids"], part["sizes"])]
                 got.append(np.array(bpe.tree(leaves, part["symbols"].tolist()), "<u4").tobytes())
+            else:
+                leaves = [Leaf(np.frombuffer(i, bpe.small).astype("<u4"), h, h if t is None else t, t is None) for i, h, t in zip(part["ids"], part["head"], part["tail"])]
+                got.append(bpe.text_tree(leaves).tobytes())
         ids = [b"".join(got)]
         n, a, b = _digest(ids, bpe.decode(ids))
         return pd.DataFrame({"doc_id": frame["doc_id"].iloc[:1].array, "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
@@ -247,8 +347,8 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     found = stage(map_arrow(rows, encode, ddl), "bpe")
     result = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     short = found.filter("n_tokens is not null").select(*result)
-    leaves = found.filter("n_tokens is null").select("doc_id", "key", "part", "leaf", "symbols", "ids")
+    leaves = found.filter("n_tokens is null").select("doc_id", "key", "part", "leaf", "kind", "symbols", "ids")
     leaves = leaves.repartition(shuffle_partitions(docs.sparkSession), "key", "part", "leaf")
-    leaves = map_arrow(leaves, encode_leaves, "doc_id long, key long, part int, leaf int, symbols string, ids binary, sizes binary")
+    leaves = map_arrow(leaves, encode_leaves, "doc_id long, key long, part int, leaf int, kind int, symbols string, ids binary, sizes binary, head string, tail string")
     long = leaves.groupBy("key").applyInPandas(join_leaves, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return short.unionByName(long.select(*result))

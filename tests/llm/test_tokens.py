@@ -95,3 +95,31 @@ def test_tree_equals_the_library(spark, leaf):
 
 def test_empty_table(spark):
     assert bpe_tree.encode_decode(spark.createDataFrame([], "doc_id long, text string"), WORD).count() == 0
+
+
+def test_text_tree_is_exact_wherever_cuts_fall():
+    """Ids of texts cut anywhere, even in words, marks and added tokens, are the library's of the whole."""
+    rng = random.Random(9)
+    bpe = bpe_tree.word_bpe(WORD)
+    parts = ["the", "Word", "it's", "12", "?!", "é", "e\u0301", "\u0301", "ΑΣ", "İ", "日本", "<|endoftext|>", "<|endof", "text|>", "\u00a0", "\u2003", "x" * 30, "😀"]
+    blanks = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "", "", " \u00a0 "]
+    joined = windows = 0
+    for _ in range(300):
+        text = "".join(rng.choice(parts) + rng.choice(blanks) for _ in range(rng.randrange(1, 120)))
+        leaf = rng.choice([1, 3, 8, 40, 200])
+        leaves = bpe.text_leaves(bpe_tree._cut(text, leaf))
+        joined += len(leaves) > 1
+        windows += sum(not x.short for x in leaves)
+        assert bpe.text_tree(leaves).tolist() == bpe.tok.encode(text, add_special_tokens=False).ids, text
+    assert joined > 200 and windows > 50
+
+
+def test_long_texts_of_the_table_go_through_the_tree(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    leaf = 512
+    assert docs.filter(f"length(text) > {2 * leaf}").count() > 20
+    got = {r.doc_id: r.ids_sha256 for r in bpe_tree.encode_decode(docs, WORD, leaf=leaf).collect()}
+    tok = bpe_tree.word_bpe(WORD).tok
+    for r in docs.collect():
+        ids = tok.encode(r.text or "", add_special_tokens=False).ids
+        assert got[r.doc_id] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
