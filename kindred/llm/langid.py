@@ -16,15 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import map_arrow
-
-#: Learning texts a language at most, and words and characters of each (a bounded sample of the labelled rows).
-TRAIN_TEXTS, TRAIN_WORDS, TRAIN_CHARS = 300, 120, 4000
-#: Languages learned at most, those with the most texts.
-TRAIN_LANGS = 200
-#: Size of the hashed feature table, code points of a word that features see on either side.
-TABLE, REACH = 1 << 17, 12
+from kindred.llm.common import map_arrow, stage
+
+#: Learning texts a language at most, and of all languages together (one a language at least); words and characters of each (a bounded sample of the labelled rows).
+TRAIN_TEXTS, TRAIN_TOTAL, TRAIN_WORDS, TRAIN_CHARS = 300, 12_000, 120, 4000
+#: Bits of a feature's hash, weights in the table of all features and languages, code points of a word that features see on either side.
+HASH, WEIGHTS, REACH = 17, 1 << 25, 12
 EPOCHS, RATE, DECAY = 4, 0.25, 1e-6
+#: Languages whose counts are broadcast; more are joined by shuffle.
+BROADCAST_LANGS = 100_000
+#: Sequences of a gradient step.
+BATCH = 16
 #: Every so many learning sequences, pieces of two languages are joined, so that switches are learned.
 SWITCH_EVERY = 3
 SEED = 11
@@ -56,7 +58,7 @@ def features(words: list[str]) -> np.ndarray:
     def emit(value: np.ndarray, kind: int) -> None:
         h = (value + np.uint64(kind)) * _MIX
         h ^= h >> np.uint64(29)
-        out.append(((h * _MIX) >> np.uint64(64 - 17)).astype(np.int64))
+        out.append(((h * _MIX) >> np.uint64(64 - HASH)).astype(np.int64))
 
     with np.errstate(over="ignore"):
         for side, kind in ((heads, 1), (tails, 11)):
@@ -88,75 +90,77 @@ class CRF:
     def __init__(self, langs: list[str]):
         k = len(langs)
         self.langs = langs
-        self.table = np.zeros((TABLE, k), dtype=np.float32)
+        # with very many languages, features share rows of a smaller table
+        self.drop = max(0, HASH + (k - 1).bit_length() - (WEIGHTS.bit_length() - 1))
+        self.table = np.zeros((1 << max(0, HASH - self.drop), k), dtype=np.float32)
         self.move = np.zeros((k, k))
 
     def emissions(self, found: np.ndarray) -> np.ndarray:
-        return self.table[found].sum(axis=1)
+        return self.table[found >> self.drop].sum(axis=-2)
 
-    def marginals(self, emit: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Language probabilities of each word; ``emit`` is (steps, texts, languages), padded."""
+    def _scan(self, emit: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward scores and scaled emissions, each normalised a word; ``emit`` is (steps, texts, languages), padded."""
         steps, n, k = emit.shape
         move = np.exp(self.move)
         scaled = np.exp(emit - emit.max(axis=2, keepdims=True))
-        ahead = np.empty_like(scaled)
-        state = scaled[0] / scaled[0].sum(axis=1, keepdims=True)
-        ahead[0] = state
+        ahead, behind = np.empty_like(scaled), np.ones_like(scaled)
+        ahead[0] = scaled[0] / scaled[0].sum(axis=1, keepdims=True)
         for t in range(1, steps):
-            state = (state @ move) * scaled[t]
-            state /= state.sum(axis=1, keepdims=True)
-            ahead[t] = state
-        behind = np.ones((n, k))
-        for t in range(steps - 1, -1, -1):
-            inside = (t < length)[:, None]
-            both = ahead[t] * behind
-            ahead[t] = np.where(inside, both / both.sum(axis=1, keepdims=True), 0)
-            if t:
-                back = (behind * scaled[t]) @ move.T
-                behind = np.where(inside, back / back.sum(axis=1, keepdims=True), 1.0)
+            state = (ahead[t - 1] @ move) * scaled[t]
+            ahead[t] = state / state.sum(axis=1, keepdims=True)
+        for t in range(steps - 2, -1, -1):
+            back = (behind[t + 1] * scaled[t + 1]) @ move.T
+            behind[t] = np.where((t + 1 < length)[:, None], back / back.sum(axis=1, keepdims=True), 1.0)
+        return ahead, behind, scaled
+
+    def marginals(self, emit: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Language probabilities of each word, zero beyond a text's length."""
+        ahead, behind, _ = self._scan(emit, length)
+        ahead *= behind
+        ahead /= ahead.sum(axis=2, keepdims=True)
+        ahead[np.arange(len(emit))[:, None] >= length] = 0
         return ahead
 
+    def _expect(self, emit: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Expected labels of each word, and expected transitions summed over all sequences."""
+        ahead, behind, scaled = self._scan(emit, length)
+        move = np.exp(self.move)
+        pair = np.zeros_like(move)
+        for t in range(len(emit) - 1):
+            after = scaled[t + 1] * behind[t + 1]
+            total = ((ahead[t] @ move) * after).sum(axis=1)
+            pair += (ahead[t] * (np.where(t + 1 < length, 1, 0) / total)[:, None]).T @ after
+        node = ahead * behind
+        node /= node.sum(axis=2, keepdims=True)
+        node[np.arange(len(emit))[:, None] >= length] = 0
+        return node, pair * move
+
     def learn(self, sequences: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Gradient ascent on the conditional likelihood of the labels, a sequence at a time."""
+        """Gradient ascent on the conditional likelihood of the labels, BATCH padded sequences at a time."""
         rng, k = np.random.default_rng(SEED), len(self.langs)
-        sums_t, sums_m = np.full((TABLE, k), 1e-6, dtype=np.float32), np.full((k, k), 1e-6)
+        sums_t, sums_m = np.full_like(self.table, 1e-6), np.full((k, k), 1e-6)
         for _ in range(EPOCHS):
-            for i in rng.permutation(len(sequences)):
-                found, label = sequences[i]
-                emit = self.emissions(found).astype(np.float64)
-                node, pair = self._expect(emit)
-                gold = np.zeros_like(node)
-                gold[np.arange(len(label)), label] = 1
-                seen = np.zeros((k, k))
-                np.add.at(seen, (label[:-1], label[1:]), 1)
+            order = rng.permutation(len(sequences))
+            for at in range(0, len(order), BATCH):
+                some = [sequences[i] for i in order[at : at + BATCH]]
+                length = np.array([len(label) for _, label in some])
+                found = np.zeros((int(length.max()), len(some), some[0][0].shape[1]), dtype=np.int64)
+                gold, seen = np.zeros((*found.shape[:2], k)), np.zeros((k, k))
+                for j, (rows, label) in enumerate(some):
+                    found[: len(label), j] = rows
+                    gold[np.arange(len(label)), j, label] = 1
+                    np.add.at(seen, (label[:-1], label[1:]), 1)
+                node, pair = self._expect(self.emissions(found).astype(np.float64), length)
                 step_m = seen - pair
                 sums_m += step_m**2
                 self.move += RATE * step_m / np.sqrt(sums_m) - DECAY * self.move
-                rows = found.reshape(-1)
-                step = np.repeat((gold - node).astype(np.float32), found.shape[1], axis=0)
-                np.add.at(sums_t, rows, step**2)
-                np.add.at(self.table, rows, RATE * step / np.sqrt(sums_t[rows]))
-
-    def _expect(self, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Expected labels of each word and summed expected transitions of one sequence."""
-        n, k = emit.shape
-        move = np.exp(self.move)
-        scaled = np.exp(emit - emit.max(axis=1, keepdims=True))
-        ahead, behind = np.empty((n, k)), np.ones((n, k))
-        ahead[0] = scaled[0] / scaled[0].sum()
-        for t in range(1, n):
-            ahead[t] = (ahead[t - 1] @ move) * scaled[t]
-            ahead[t] /= ahead[t].sum()
-        for t in range(n - 2, -1, -1):
-            behind[t] = move @ (scaled[t + 1] * behind[t + 1])
-            behind[t] /= behind[t].sum()
-        node = ahead * behind
-        node /= node.sum(axis=1, keepdims=True)
-        pair = np.zeros((k, k))
-        if n > 1:
-            joint = ahead[:-1, :, None] * move[None] * (scaled[1:] * behind[1:])[:, None, :]
-            pair = (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        return node, pair
+                inside = np.arange(len(found))[:, None] < length
+                rows = found[inside] >> self.drop
+                where, of = np.unique(rows, return_inverse=True)
+                step = np.zeros((len(where), k), dtype=np.float32)
+                np.add.at(step, of.reshape(-1), np.repeat((gold - node)[inside].astype(np.float32), rows.shape[1], axis=0))
+                sums_t[where] += step**2
+                self.table[where] += RATE * step / np.sqrt(sums_t[where])
 
 
 def train(sample: pd.DataFrame) -> CRF | None:
@@ -249,15 +253,20 @@ class Labeller:
 
 
 def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> pd.DataFrame:
-    """At most TRAIN_TEXTS rows (lang, text) a language, by hash of the id, none of them held out."""
+    """Rows (lang, text) of every language, by hash of the id, none of them held out.
+
+    A language gives TRAIN_TEXTS rows at most, fewer if the languages are so many that they
+    would be over TRAIN_TOTAL together, and one at least.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null").filter(~held_out("doc_id"))
     rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.substring(F.substring_index("text", " ", 2 * TRAIN_WORDS), 1, TRAIN_CHARS).alias("text"))
-    each = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.least(F.lit(1.0), 2.0 * TRAIN_TEXTS / F.col("n"))
-    near = rows.join(F.broadcast(each.orderBy(F.desc("n"), "lang").limit(TRAIN_LANGS)), "lang")
-    near = near.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < share * (1 << 20))
-    chosen = near.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "text"))), 1, TRAIN_TEXTS).alias("s"))
+    each = stage(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("first")), "languages")
+    langs = each.count()
+    most = max(1, min(TRAIN_TEXTS, TRAIN_TOTAL // max(1, langs)))
+    share = F.least(F.lit(1.0), 2.0 * most / F.col("n"))
+    near = rows.join(F.broadcast(each) if langs <= BROADCAST_LANGS else each, "lang").filter((F.col("h") == F.col("first")) | (F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < share * (1 << 20)))
+    chosen = near.groupBy("lang").agg(F.slice(F.array_sort(F.collect_set(F.struct("h", "text"))), 1, most).alias("s"))
     return chosen.select("lang", F.explode("s.text").alias("text")).toPandas().sort_values(["lang", "text"], ignore_index=True)
 
 
@@ -268,9 +277,8 @@ def held_out(id_col: str) -> F.Column:
 def label_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every text.
 
-    Learns from at most TRAIN_TEXTS texts a language, and TRAIN_LANGS languages, that are not held
-    out and have a language;
-    predicts from the text alone, all of it.  A null text, or one without a letter, is ``und``
+    Learns from at most TRAIN_TEXTS texts of every language, none of them held out; predicts
+    from the text alone, all of it.  A null text, or one without a letter, is ``und``
     with score 0; so is every text if there is nothing to learn from.  Repeated rows are
     labelled each; a null id isn't held out; empty tables give no row.
     """

@@ -30,8 +30,10 @@ def test_forward_backward_by_enumeration():
             for t, k in enumerate(path):
                 want[t, k] += s
         assert np.allclose(got[:n, j], want / total)
-    node, pair = model._expect(emit[:4, 1])
-    assert np.allclose(node, got[:4, 1]) and np.isclose(pair.sum(), 3)
+    node, pair = model._expect(emit, lengths)
+    assert np.allclose(node, got) and np.isclose(pair.sum(), 5)
+    alone = sum(model._expect(emit[:n, j : j + 1], lengths[j : j + 1])[1] for j, n in enumerate(lengths))
+    assert np.allclose(pair, alone)
 
 
 def test_languages_and_switches(spark):
@@ -54,6 +56,27 @@ def test_languages_and_switches(spark):
     assert (found == [0] * 15 + [1] * 15).mean() > 0.9
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """More languages than texts in the sample: each has one, and rows of features are shared."""
+    monkeypatch.setattr(langid, "TRAIN_TOTAL", 6)
+    monkeypatch.setattr(langid, "WEIGHTS", 1 << 14)
+    rng = random.Random(3)
+    parts = {f"l{i}": [f"{a}{b}{i}" for a in "bdgk" for b in "aeou"] for i in range(9)}
+    parts = {k: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in v] for k, v in parts.items()}
+    rows = [(i, text(rng, parts[f"l{i % 9}"], 60), f"l{i % 9}") for i in range(180)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(langid.learning_sample(docs, "doc_id", "text", "lang")["lang"]) == set(parts)
+    found = {r.doc_id: r.lang_pred for r in langid.label_texts(docs).collect()}
+    assert sum(found[i] == f"l{i % 9}" for i in found) > 0.9 * len(found)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(4)
+    rows = [(i, text(rng, A if i % 2 else B, 40), "aa" if i % 2 else "bb") for i in range(60)] + [(99, text(rng, A, 300_000), None)]
+    got = {r.doc_id: r.lang_pred for r in langid.label_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[99] == "aa"
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert langid.label_texts(docs).first().lang_pred == "und"
