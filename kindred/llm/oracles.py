@@ -8,33 +8,41 @@ def _text(value: str) -> str:
 
 
 def license_scan() -> str:
-    from kindred.llm.licenses import TEMPLATES, THRESHOLD
+    from kindred.llm.licenses import TEMPLATES, THRESHOLD, anchors
 
-    rows = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in TEMPLATES)
+    rows = ", ".join(f"({t}, {_text(name)}, {_text(text)})" for t, (name, text) in enumerate(TEMPLATES))
+    places = ", ".join(f"({t}, {_text(w)}, {o}, {m})" for t, w, o, m in anchors(TEMPLATES, THRESHOLD))
     grams = "list_distinct(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))"
     words = "list_filter(string_split(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
+    dice = "round(2.0 * len(list_intersect(s.g, t.g)) / (len(s.g) + len(t.g)), 6)"
     return f"""
 WITH template AS (
-  SELECT name, {grams} AS g FROM (SELECT name, {words.format("t")} AS w FROM (VALUES {rows}) v(name, t))
+  SELECT t, name, {grams} AS g FROM (SELECT t, name, {words.format("x")} AS w FROM (VALUES {rows}) v(t, name, x))
 ),
 unit AS (
   SELECT DISTINCT doc_id, u FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM documents
     UNION ALL
-    SELECT doc_id, u FROM (SELECT doc_id, unnest(string_split_regex(text, '\\n[ \\t\\r]*\\n')) AS u FROM documents) WHERE contains(u, chr(10))
+    SELECT doc_id, u FROM (SELECT doc_id, unnest(string_split_regex(text, '\\n(?:[^0-9A-Za-z\\n]*\\n)+')) AS u FROM documents) WHERE contains(u, chr(10))
     UNION ALL
     SELECT doc_id, text FROM documents WHERE contains(text, chr(10))
   )
 ),
 sized AS (SELECT doc_id, u, {grams} AS g FROM (SELECT doc_id, u, {words.format("u")} AS w FROM unit)),
+anchor AS (SELECT * FROM (VALUES {places}) v(t, word, o, m)),
+doc AS (SELECT doc_id, {words.format("text")} AS w FROM documents WHERE text IS NOT NULL),
+mark AS (SELECT doc_id, w, i, w[i + 1] AS word FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM doc)),
+win AS (SELECT doc_id, t, {grams} AS g FROM (SELECT doc_id, t, w[greatest(i - o + 1, 1):greatest(i - o + 1, 1) + m - 1] AS w FROM mark JOIN anchor USING (word))),
 hit AS (
-  SELECT doc_id, name, round(2.0 * len(list_intersect(s.g, t.g)) / (len(s.g) + len(t.g)), 6) AS dice
+  SELECT doc_id, t.t, name, {dice} AS dice
   FROM sized s JOIN template t
     ON len(s.g) BETWEEN len(t.g) * {THRESHOLD / (2 - THRESHOLD)!r} - 1e-9 AND len(t.g) * {(2 - THRESHOLD) / THRESHOLD!r} + 1e-9
+  UNION ALL
+  SELECT doc_id, t.t, name, {dice} AS dice FROM win s JOIN template t ON t.t = s.t
 ),
 good AS (SELECT * FROM hit WHERE dice >= {THRESHOLD}),
 best AS (
-  SELECT doc_id, arg_min(name, (-dice, name)) AS license, max(dice) AS dice, count(*) AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+  SELECT doc_id, arg_min(name, (-dice, name)) AS license, max(dice) AS dice, count(DISTINCT t) AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
   FROM good GROUP BY doc_id
 )
 SELECT d.doc_id, b.license, b.dice, coalesce(b.n_matches, 0) AS n_matches, coalesce(b.licenses, '') AS licenses

@@ -109,15 +109,21 @@ def test_overlapping_spans_are_redacted_once(spark):
 def slow_scan(text):
     hits = []
     text = text or ""
-    units = set(text.split("\n")) | {p for p in re.split(r"\n[ \t\r]*\n", text) if "\n" in p} | ({text} if "\n" in text else set())
-    for u in units:
-        a = licenses.bigrams_of(u)
-        for name, template in licenses.TEMPLATES:
+    units = set(text.split("\n")) | {p for p in re.split(r"\n(?:[^0-9A-Za-z\n]*\n)+", text) if "\n" in p} | ({text} if "\n" in text else set())
+    parts = [(licenses.bigrams_of(u), range(len(licenses.TEMPLATES))) for u in units]
+    words = licenses.words_of(text)
+    for t, word, before, n in licenses.anchors(licenses.TEMPLATES, licenses.THRESHOLD):
+        for i in [i for i, w in enumerate(words) if w == word]:
+            window = words[max(i - before, 0) : max(i - before, 0) + n]
+            parts.append(({f"{x} {y}" for x, y in zip(window, window[1:])}, [t]))
+    for a, those in parts:
+        for t in those:
+            name, template = licenses.TEMPLATES[t]
             b = licenses.bigrams_of(template)
             dice = round(2 * len(a & b) / (len(a) + len(b)), 6)
             if dice >= licenses.THRESHOLD:
-                hits.append((-dice, name))
-    return (min(hits)[1], -min(hits)[0], len(hits), ",".join(sorted({n for _, n in hits}))) if hits else (None, None, 0, "")
+                hits.append((-dice, name, t))
+    return (min(hits)[1], -min(hits)[0], len({t for _, _, t in hits}), ",".join(sorted({n for _, n, _ in hits}))) if hits else (None, None, 0, "")
 
 
 def test_licenses_by_brute_force(spark):
@@ -135,6 +141,18 @@ def test_licenses_by_brute_force(spark):
     assert licenses.scan(docs.filter("false")).count() == 0
 
 
+def test_wrapped_and_embedded_notices(spark):
+    gpl = next(t for n, t in licenses.TEMPLATES if n == "gpl-3.0" and len(t) > 100).split()
+    wrapped = "int x;\n/*\n" + "\n".join(" * " + " ".join(gpl[i : i + 9]) for i in range(0, len(gpl), 9)) + "\n *\n * other words here\n */\nint y;"
+    inside = "We wrote this. " + "lorem ipsum dolor " * 8 + "Released under the MIT License. " + "sit amet " * 9
+    mit = max((t for n, t in licenses.TEMPLATES if n == "mit"), key=len)
+    whole = "The MIT License\n\nCopyright (c) 2001 Someone\n\n" + mit.replace(". ", ".\n\n")
+    rows = [(1, wrapped), (2, inside), (3, whole), (4, "license " * 50_000), (5, whole.upper().replace("\n", " \r\n"))]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].license == "gpl-3.0" and got[2].license == "mit" and got[3].license == got[5].license == "mit" and got[4].license is None
+    assert got[3].dice > 0.95
+
+
 def test_native_plans(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for df in (pii.report(docs), licenses.scan(docs)):
