@@ -73,7 +73,7 @@ def test_fuzzy_against_brute_force(spark):
     want = set()
     for i, a in enumerate(names):
         if a:
-            found = sorted((-round(100 * S.weighted(a, b), 6), f"S{2 + j % 2}-{j}") for j, b in enumerate(names) if b)
+            found = sorted((-round(100 * S.one(S.weighteds, a, b), 6), f"S{2 + j % 2}-{j}") for j, b in enumerate(names) if b)
             want |= {(f"S1-{i}", m, -s) for s, m in found[:3] if -s >= 45}
     assert got == want
 
