@@ -15,10 +15,11 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import map_arrow, shuffle_partitions, stage
-from kindred.llm.tokens import batches_of, encoded, gather, without_memory
+from kindred.llm.tokens import UnitMemory, batches_of, encoded, gather, without_memory
 
 #: Code points of a text's leaf and symbols (bytes) of a piece's; texts and pieces of more than two leaves go through the tree.
 LEAF = 4096
+#: Bytes of ids that a task joins at a time (one larger text goes alone).
+JOINED_BYTES = 1_000_000
 #: Words that the first window takes from either side, and kinds of parts.
 WORDS = 4
 IDS, PIECE, TEXT = range(3)
@@ -59,6 +62,7 @@ class WordBPE:
         self.small = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         size = self.tok.get_vocab_size(with_added_tokens=False)
         self.lengths = np.array([len((self.bare.id_to_token(i) or "").removesuffix(self.suffix)) for i in range(size)], dtype=np.int64)
+        self.memory = UnitMemory(self.words)
 
     def normalised(self, text: str) -> str:
         if text.isascii():
@@ -99,9 +103,10 @@ class WordBPE:
         large = np.asarray(pc.binary_length(words)) > limit
         if large.any():
             words = pc.if_else(pa.array(large), "", words)
-        ids, starts, counts = self.words(words.to_pylist())
-        all_ids = gather(ids, starts, counts, codes).astype("<u4")
-        at = np.append(0, np.cumsum(counts[codes]))[ends]
+        places = self.memory.places(words)[codes]
+        ids, starts, counts = self.memory.ids, self.memory.starts, self.memory.counts
+        all_ids = gather(ids, starts, counts, places).astype("<u4")
+        at = np.append(0, np.cumsum(counts[places]))[ends]
         for k, i in enumerate(plain):
             if large.any() and large[codes[ends[k] : ends[k + 1]]].any():
                 out[i] = self.parts(texts[i], limit)
@@ -179,31 +184,60 @@ class WordBPE:
         return [np.frombuffer(x, "<u4") for x in self.encode(texts, 1 << 62)]
 
     def text_leaves(self, texts: list[str]) -> list["Leaf"]:
-        return [Leaf(ids, *_edges(self, text)) for ids, text in zip(self.whole(texts), texts)]
-
-    def join_text(self, left: "Leaf", right: "Leaf") -> "Leaf":
-        """The joint text of two encoded neighbours, encoded again in a window around the join."""
-        words = WORDS
-        while True:
-            a, b = _last_words(left.tail, words), _first_words(right.head, words)
-            most = a == left.tail and b == right.head
-            old_a, old_b, new = self.whole([a, b, a + b])
-            fits = np.array_equal(left.ids[len(left.ids) - len(old_a) :], old_a) and np.array_equal(right.ids[: len(old_b)], old_b)
-            starts = left.short and a == left.tail or len(old_a) >= AGREE and np.array_equal(new[:AGREE], old_a[:AGREE])
-            ends = right.short and b == right.head or len(old_b) >= AGREE and np.array_equal(new[len(new) - AGREE :], old_b[len(old_b) - AGREE :])
-            if fits and starts and ends:
-                break
-            if most:
-                raise ValueError("the two sides of a join do not agree")  # their leaves were not encoded by this tokenizer
+        """Encoded leaves, with first and last words that have ids enough to agree, apart from the words at the very ends, which a cut may have split."""
+        edges: list = [None] * len(texts)
+        words, open_ = 2 * WORDS, range(len(texts))
+        while open_:
+            for i in open_:
+                head, tail = _first_words(texts[i], words), _last_words(texts[i], words)
+                edges[i] = (texts[i], texts[i], True) if texts[i] in (head, tail) else (head, tail, False)
+            left = [i for i in open_ if not edges[i][2]]
+            inner = self.whole([x for i in left for x in (_last_words(edges[i][0], words - 1), _first_words(edges[i][1], words - 1))])
+            open_ = [i for k, i in enumerate(left) if min(len(inner[2 * k]), len(inner[2 * k + 1])) < 2 * AGREE]
             words *= 2
-        ids = np.concatenate([left.ids[: len(left.ids) - len(old_a)], new, right.ids[len(old_b) :]])
-        return Leaf(ids, left.head + right.head if left.short else left.head, left.tail + right.tail if right.short else right.tail, left.short and right.short)
+        return [Leaf(ids, *edge) for ids, edge in zip(self.whole(texts), edges)]
+
+    def join_texts(self, pairs: list[tuple["Leaf", "Leaf"]]) -> list["Leaf"]:
+        """The joint text of each two encoded neighbours, encoded again in a window around the join."""
+        out: list = [None] * len(pairs)
+        words, open_ = WORDS, list(range(len(pairs)))
+        while open_:
+            cut = [(_last_words(pairs[i][0].tail, words), _first_words(pairs[i][1].head, words)) for i in open_]
+            ids = self.whole([x for a, b in cut for x in (a, b, a + b)])
+            again = []
+            for k, (i, (a, b)) in enumerate(zip(open_, cut)):
+                (left, right), (old_a, old_b, new) = pairs[i], ids[3 * k : 3 * k + 3]
+                fits = np.array_equal(left.ids[len(left.ids) - len(old_a) :], old_a) and np.array_equal(right.ids[: len(old_b)], old_b)
+                starts = left.short and a == left.tail or len(old_a) >= AGREE and np.array_equal(new[:AGREE], old_a[:AGREE])
+                ends = right.short and b == right.head or len(old_b) >= AGREE and np.array_equal(new[len(new) - AGREE :], old_b[len(old_b) - AGREE :])
+                if fits and starts and ends:
+                    joint = np.concatenate([left.ids[: len(left.ids) - len(old_a)], new, right.ids[len(old_b) :]])
+                    out[i] = Leaf(joint, left.head + right.head if left.short else left.head, left.tail + right.tail if right.short else right.tail, left.short and right.short)
+                elif a == left.tail and b == right.head:
+                    raise ValueError("the two sides of a join do not agree")  # their leaves were not encoded by this tokenizer
+                else:
+                    again.append(i)
+            words, open_ = 2 * words, again
+        return out
 
-    def text_tree(self, leaves: list["Leaf"]) -> np.ndarray:
-        """Joins neighbouring leaves pairwise until one sequence is left."""
-        while len(leaves) > 1:
-            leaves = [self.join_text(*leaves[k : k + 2]) if k + 1 < len(leaves) else leaves[k] for k in range(0, len(leaves), 2)]
-        return leaves[0].ids
+    def text_trees(self, many: list[list["Leaf"]]) -> list[np.ndarray]:
+        """Joins neighbouring leaves of each text pairwise, a level of all trees at a time, until each text is one sequence."""
+        many = list(many)
+        while any(len(leaves) > 1 for leaves in many):
+            at = [(i, k) for i, leaves in enumerate(many) for k in range(0, len(leaves) - 1, 2)]
+            joined = dict(zip(at, self.join_texts([tuple(many[i][k : k + 2]) for i, k in at])))
+            many = [[joined.get((i, k), leaves[k]) for k in range(0, len(leaves), 2)] for i, leaves in enumerate(many)]
+        return [leaves[0].ids for leaves in many]
+
+    def joined(self, part: list[dict], trees) -> bytes:
+        """Ids of one part of a text; those of whole texts are the next of ``trees``."""
+        kind = part[0]["kind"]
+        if kind == IDS:
+            return part[0]["ids"]
+        if kind == TEXT:
+            return next(trees).tobytes()
+        leaves = [(np.frombuffer(r["ids"], "<u4").tolist(), np.frombuffer(r["sizes"], "<u4").tolist()) for r in part]
+        return np.array(self.tree(leaves, [r["symbols"] for r in part]), "<u4").tobytes()
 
     def decode(self, many: list[bytes]) -> list[str]:
         return self.tok.decode_batch([np.frombuffer(x, "<u4").tolist() for x in many], skip_special_tokens=False)
@@ -242,19 +276,6 @@ def _last_words(text: str, n: int) -> str:
     return text[max(at, 0) :]
 
 
-def _edges(bpe: WordBPE, text: str) -> tuple[str, str, bool]:
-    """First and last words with ids enough to agree, apart from the words at the very ends, which a cut may have split."""
-    words = 2 * WORDS
-    while True:
-        head, tail = _first_words(text, words), _last_words(text, words)
-        if head == text or tail == text:
-            return text, text, True
-        inner = [_last_words(head, words - 1), _first_words(tail, words - 1)]
-        if min(map(len, bpe.whole(inner))) >= 2 * AGREE:
-            return head, tail, False
-        words *= 2
-
-
 def _cut(symbols: str, leaf: int) -> list[str]:
     return [symbols[i : i + leaf] for i in range(0, len(symbols), leaf)]
 
@@ -328,27 +349,33 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
             types = (pa.string(), pa.binary(), pa.binary(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *(pa.array(c, t) for c, t in zip(zip(*made), types))], names=[*kept, "symbols", "ids", "sizes", "head", "tail"])
 
-    def join_leaves(frame: pd.DataFrame) -> pd.DataFrame:
-        bpe, got = word_bpe(tokenizer), []
-        for _, part in frame.sort_values(["part", "leaf"]).groupby("part", sort=True):
-            kind = part["kind"].iloc[0]
-            if kind == IDS:
-                got.append(bytes(part["ids"].iloc[0]))
-            elif kind == PIECE:
-                leaves = [(np.frombuffer(i, "<u4").tolist(), np.frombuffer(s, "<u4").tolist()) for i, s in zip(part["ids"], part["sizes"])]
-                got.append(np.array(bpe.tree(leaves, part["symbols"].tolist()), "<u4").tobytes())
-            else:
-                leaves = [Leaf(np.frombuffer(i, bpe.small).astype("<u4"), h, h if t is None else t, t is None) for i, h, t in zip(part["ids"], part["head"], part["tail"])]
-                got.append(bpe.text_tree(leaves).tobytes())
-        ids = [b"".join(got)]
-        n, a, b = _digest(ids, bpe.decode(ids))
-        return pd.DataFrame({"doc_id": frame["doc_id"].iloc[:1].array, "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
+    def join_leaves(batches):
+        bpe = word_bpe(tokenizer)
+
+        def joined(texts: list[list[dict]]) -> pa.RecordBatch:
+            parts = [[list(part) for _, part in groupby(text, itemgetter("part"))] for text in texts]
+            long = [part for text in parts for part in text if part[0]["kind"] == TEXT]
+            trees = iter(bpe.text_trees([[Leaf(np.frombuffer(r["ids"], bpe.small).astype("<u4"), r["head"], r["head"] if r["tail"] is None else r["tail"], r["tail"] is None) for r in part] for part in long]))
+            ids = [b"".join(bpe.joined(part, trees) for part in text) for text in parts]
+            n, a, b = _digest(ids, bpe.decode(ids))
+            return pa.RecordBatch.from_arrays([pa.array([t[0]["doc_id"] for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=result)
+
+        waiting, size = [], 0
+        for _, text in groupby((row for batch in batches for row in batch.to_pylist()), itemgetter("key")):
+            waiting.append(list(text))
+            size += sum(len(r["ids"]) for r in waiting[-1])
+            if size > JOINED_BYTES:
+                yield joined(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield joined(waiting)
 
-    found = stage(map_arrow(rows, encode, ddl), "bpe")
     result = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    found = stage(map_arrow(rows, encode, ddl), "bpe")
     short = found.filter("n_tokens is not null").select(*result)
     leaves = found.filter("n_tokens is null").select("doc_id", "key", "part", "leaf", "kind", "symbols", "ids")
     leaves = leaves.repartition(shuffle_partitions(docs.sparkSession), "key", "part", "leaf")
     leaves = map_arrow(leaves, encode_leaves, "doc_id long, key long, part int, leaf int, kind int, symbols string, ids binary, sizes binary, head string, tail string")
-    long = leaves.groupBy("key").applyInPandas(join_leaves, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    leaves = leaves.repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key", "part", "leaf")
+    long = map_arrow(leaves, join_leaves, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return short.unionByName(long.select(*result))

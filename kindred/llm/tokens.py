@@ -74,6 +74,34 @@ def without_memory(path: str, **changes):
     return tok
 
 
+class UnitMemory:
+    """Ids of units that were encoded before, a bounded number of them."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.ids, self.starts, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def places(self, units: pa.Array) -> np.ndarray:
+        """Where in ``starts`` and ``counts`` each of the distinct ``units`` is, after encoding those that were not known."""
+        if self.known.nbytes + units.nbytes > REMEMBERED:
+            self._forget()
+        at = pc.index_in(units, value_set=self.known)
+        new = units.filter(pc.is_null(at))
+        places = np.asarray(pc.fill_null(at, -1)).astype(np.int64)
+        places[places < 0] = len(self.known) + np.arange(len(new))
+        if len(new):
+            ids, starts, counts = self.encode(new.to_pylist())
+            self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids])
+            self.known = pa.concat_arrays([self.known, new])
+        return places
+
+
 class ByteEncoder:
     """Ids of whole texts as unsigned 32-bit arrays."""
 
@@ -83,11 +111,7 @@ class ByteEncoder:
         self.irregular = "|".join([_IRREGULAR, *map(re.escape, added)])
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.lengths = np.array([len(self.tok.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = pa.array([], pa.string())
-        self.ids, self.starts, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.memory = UnitMemory(self._units)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return list(encoded(self.tok, texts))
@@ -115,21 +139,6 @@ class ByteEncoder:
         starts[alone] = joint + np.cumsum(counts[alone]) - counts[alone]
         return ids, starts, counts
 
-    def _places(self, units: pa.Array) -> np.ndarray:
-        """Where each of the distinct ``units`` is known, after encoding those that were not."""
-        if self.known.nbytes + units.nbytes > REMEMBERED:
-            self._forget()
-        at = pc.index_in(units, value_set=self.known)
-        new = units.filter(pc.is_null(at))
-        places = np.asarray(pc.fill_null(at, -1)).astype(np.int64)
-        places[places < 0] = len(self.known) + np.arange(len(new))
-        ids, starts, counts = self._units(new.to_pylist())
-        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
-        self.counts = np.concatenate([self.counts, counts])
-        self.ids = np.concatenate([self.ids, ids])
-        self.known = pa.concat_arrays([self.known, new])
-        return places
-
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array without nulls."""
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
@@ -141,9 +150,9 @@ class ByteEncoder:
             marked = pc.binary_join_element_wise("\0", pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), "")
             cut = pc.split_pattern(marked, " ")
             coded = cut.flatten().dictionary_encode()
-            codes = self._places(coded.dictionary)[np.asarray(coded.indices)]
-            all_ids = gather(self.ids, self.starts, self.counts, codes)
-            ends = np.append(0, np.cumsum(self.counts[codes]))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(cut))))]
+            codes = self.memory.places(coded.dictionary)[np.asarray(coded.indices)]
+            all_ids = gather(self.memory.ids, self.memory.starts, self.memory.counts, codes)
+            ends = np.append(0, np.cumsum(self.memory.counts[codes]))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(cut))))]
             for k, i in enumerate(plain.tolist()):
                 out[i] = all_ids[ends[k] : ends[k + 1]]
         return out
