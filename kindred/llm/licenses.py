@@ -58,7 +58,7 @@ TEMPLATES = (
 )
 # ---- End of fixed values ----
 #: Words that say little about a text.
-COMMON = set("the and of to in or this is a be by for with you not under it that are at as any on use all".split())
+COMMON = set("the and of to in or this is a be by for with you not under it that are at as any on use all from may must shall other without free general following mit".split())
 #: Least coefficient of a match, and anchor words of a template.
 THRESHOLD, ANCHORS = 0.8, 4
 
@@ -85,6 +85,16 @@ def telling_words(text: str, threshold: float) -> list[str]:
     return out
 
 
+def spelt(words: list[str]) -> str:
+    """A pattern for any of the words, branching letter by letter."""
+    rest: dict[str, list[str]] = {}
+    for word in words:
+        rest.setdefault(word[:1], []).append(word[1:])
+    ends = rest.pop("", None) is not None
+    branches = [letter + (spelt(tails) if tails != [""] else "") for letter, tails in sorted(rest.items())]
+    return branches[0] if len(branches) == 1 and not ends else "(?:" + "|".join(branches) + ")" + "?" * ends
+
+
 def anchors(templates, threshold: float) -> list[tuple[int, str, int, int]]:
     """(template, word, words before its first place, words) of each template's first ANCHORS telling words."""
     out = []
@@ -121,7 +131,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     known = _literal(set().union(*grams))
     text = F.coalesce(F.col(text_col), F.lit(""))
     telling = sorted(set().union(*(telling_words(t, threshold) for _, t in templates)))
-    tells = F.lower(text).rlike("(?<![a-z0-9])(?:" + "|".join(telling) + ")(?![a-z0-9])")
+    initials = "".join(sorted({w[0] for w in telling}))
+    tells = F.lower(text).rlike(f"(?<![a-z0-9])(?=[{initials}]){spelt(telling)}(?![a-z0-9])")
     paragraphs = F.filter(F.split(text, r"\n(?:[^0-9A-Za-z\n]*\n)+"), lambda p: F.contains(p, F.lit("\n")))
     units = F.concat(F.split(text, "\n"), paragraphs, F.filter(F.array(text), lambda t: F.contains(t, F.lit("\n"))))
     none = F.array().cast("array<string>")

@@ -141,6 +141,15 @@ def test_licenses_by_brute_force(spark):
     assert licenses.scan(docs.filter("false")).count() == 0
 
 
+def test_pattern_of_words():
+    rng = random.Random(1)
+    for _ in range(100):
+        words = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(rng.randrange(1, 20))})
+        pattern = re.compile(licenses.spelt(words))
+        for w in {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(60)} | set(words):
+            assert bool(pattern.fullmatch(w)) == (w in words)
+
+
 def test_wrapped_and_embedded_notices(spark):
     gpl = next(t for n, t in licenses.TEMPLATES if n == "gpl-3.0" and len(t) > 100).split()
     wrapped = "int x;\n/*\n" + "\n".join(" * " + " ".join(gpl[i : i + 9]) for i in range(0, len(gpl), 9)) + "\n *\n * other words here\n */\nint y;"
