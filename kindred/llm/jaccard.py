@@ -96,7 +96,7 @@ def _sets(texts: DataFrame) -> DataFrame:
 
 
 def _shingles_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, found): all shingles of the sets in ``nodes``."""
+    """(node, n, found): all shingles of the sets in ``nodes``, each from its first row's text."""
 
     def run(batches):
         for batch in batches:
@@ -158,7 +158,9 @@ def links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     prefixes form a bucket.  In each of ROUNDS, all of a bucket whose members are not all
     connected are compared with one of them; then every two that are still apart are, by
     bitmaps where they meet, so a row leaves the join only for a pair that may be similar.
-    A group of near copies so costs rows in proportion to its members, and no pair is left out.
+    A group of near copies so costs rows in proportion to its members, and no pair is left out;
+    only the comparisons of bitmaps go with the square of those members of a bucket that no
+    round has connected.
     """
     found = _verified(_probed(nodes).select(*_pair("a", "b")).distinct(), texts, nodes)
     rows = nodes.select("node", "n", F.explode("prefix").alias("token"))
@@ -175,11 +177,13 @@ def links(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         if k < ROUNDS:
             pairs = joined.join(centre, "token").filter(F.col("root") != F.col("root_")).filter(similar)
         else:
-            live = stage(joined.join(centre.select("token"), "token", "left_semi").join(nodes.select("node", "marks"), "node"), "apart")
+            live = staged = stage(joined.join(centre.select("token"), "token", "left_semi").join(nodes.select("node", "marks"), "node"), "apart")
             other = live.select("token", *(F.col(c).alias(c + "_") for c in ("node", "n", "root", "marks")))
             differ = " + ".join(f"bit_count(marks[{i}] ^ marks_[{i}])" for i in range(MARKS))
             pairs = live.join(other, "token").filter(F.col("root") < F.col("root_")).filter(similar).filter(F.expr(f"9 * ({differ}) <= n + n_"))
         found = found.unionByName(_verified(pairs.select(*_pair("node", "node_")).distinct(), texts, nodes))
+    unstage(buckets)
+    unstage(staged)
     return found
 
 
@@ -208,4 +212,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     nodes = stage(_sets(texts), "nodes")
     roots = connected_components(links(texts, nodes))
     of = nodes.select("node", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
-    return _only(docs, of.groupBy("root").agg(F.min("best").alias("best")), id_col, text_col)
+    best = stage(of.groupBy("root").agg(F.min("best").alias("best")), "best")
+    unstage(nodes)
+    return _only(docs, best, id_col, text_col)
