@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import map_arrow, stage
+from kindred.llm.tokens import batches_of
 
 #: Learning texts a language at most, and of all languages together (one a language at least); words and characters of each (a bounded sample of the labelled rows).
 TRAIN_TEXTS, TRAIN_TOTAL, TRAIN_WORDS, TRAIN_CHARS = 300, 12_000, 120, 4000
@@ -32,7 +33,9 @@ SWITCH_EVERY = 3
 SEED = 11
 UNKNOWN = "und"
 #: Numbers in a padded forward-backward block, and in the memory of word emissions.
-_SLOTS, _REMEMBERED = 1_600_000, 1_600_000
+_SLOTS, _REMEMBERED = 1_600_000, 800_000
+#: Bytes of text that are labelled at a time (one larger text goes alone).
+SLICE_BYTES = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRIP = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»“”„‘’…–—¿¡"
@@ -289,11 +292,9 @@ def label_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         labeller = labeller_of(sent)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
             found: list[tuple[str, float]] = []
-            for i in range(0, len(texts), 1000):
-                part = texts[i : i + 1000]
-                found += labeller.texts(part) if labeller else [(UNKNOWN, 0.0)] * len(part)
+            for _, part in batches_of(batch.column(2), SLICE_BYTES):
+                found += labeller.texts(part.to_pylist()) if labeller else [(UNKNOWN, 0.0)] * len(part)
             lang, score = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
