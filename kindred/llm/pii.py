@@ -173,7 +173,9 @@ def discover(docs: DataFrame, observed: DataFrame, text_col: str, support: int =
     best = by_kind.groupBy("family", "pattern").agg(F.max_by("seed", F.struct("seeds", "seed")).alias("kind"), F.sum("seeds").alias("seeds")).filter(F.col("seeds") >= support)
     fresh_ones = edges.filter("seed is null").select("family", "pattern").distinct()
     useful = stage(best.join(fresh_ones, ["family", "pattern"]).withColumn("words", F.when(~F.col("pattern").startswith("S "), F.expr("substring(pattern, 3)"))), "patterns")
-    said = word_pairs(docs, text_col).join(useful.filter("words is not null").select("words").distinct(), "words").groupBy("words").agg(F.count("*").alias("total"))
+    # no words are asked for in small tables, but the texts are read alike at every size: the empty ones keep the join
+    asked = useful.filter("words is not null").select("words").distinct().unionByName(docs.sparkSession.range(1).select(F.lit("").alias("words")))
+    said = word_pairs(docs, text_col).join(asked, "words").groupBy("words").agg(F.count("*").alias("total"))
     graph = edges.join(useful.join(said, "words", "left"), ["family", "pattern"])
     graph = stage(graph, "graph")
     belief = graph.select("family", "value", F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0).alias("belief")).groupBy("family", "value").agg(F.max("belief").alias("belief"))
