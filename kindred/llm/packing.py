@@ -103,7 +103,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     duplicate clusters (default: equal texts, white space and ASCII case aside).  Null sources
     conflict with nothing.  Texts are dealt out over groups by a hash of id and text, so a
     source or cluster with very many texts spreads over all of them, and repeated rows are
-    packed each.  Groups hold about ``group`` texts whatever the table's size.
+    packed each.  Groups hold about ``group`` texts whatever the table's size.  An empty table
+    gives no row.
     """
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+", " ")
     rows = docs.select(

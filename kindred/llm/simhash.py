@@ -33,12 +33,9 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     found = (text or "").encode("utf-8").lower().split()
     if not found:
         return 0
-    hash_of = xxhash.xxh64_intdigest
-    if len(found) < words:
-        shingles = [b" ".join(found)]
-    else:
-        shingles = list(map(b" ".join, zip(*(found[i:] for i in range(words)))))
-    return majority(np.array([hash_of(s, 42) for s in shingles], dtype="<u8"))
+    joined = map(b" ".join, zip(*(found[i:] for i in range(words)))) if len(found) >= words else [b" ".join(found)]
+    count = max(1, len(found) - words + 1)
+    return majority(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in joined), "<u8", count))
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -155,6 +152,7 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     Every pair within the distance is linked or connected through links, and every link is
     verified.  Small buckets are compared pair by pair; members of larger ones are connected
     through the fingerprints half the distance around them, in rows in proportion to the members.
+    The distance is even; an odd one is an error.
     """
     probes = [(k, _mask(group), [_mask(s) for s in combinations(group, t)]) for k, (group, t) in enumerate(plan(fps, distance))]
     keys = [F.struct(F.lit(k * 4096 + i).alias("slot"), F.col("fp").bitwiseAND(F.lit(mask & ~aside)).alias("value")) for k, mask, sets in probes for i, aside in enumerate(sets)]
@@ -189,7 +187,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest fingerprint.  Documents of one fingerprint are one node, so copies cost one row
     before any comparison.  Null and empty texts have fingerprint 0 and are linked like any
     other; repeated rows are returned each; a null doc_id counts as larger than any other
-    (the component_id is null where all are null).  An empty table gives no row.
+    (the component_id is null where all are null).  An empty table gives no row.  An odd
+    distance is an error.
     """
     rows = stage(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
