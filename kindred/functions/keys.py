@@ -41,7 +41,7 @@ def last_token(core: Column) -> Column:
 
 
 def sorted_name(core: Column) -> Column:
-    return F.array_join(F.array_sort(tokens(core)), " ")
+    return F.array_join(F.sort_array(tokens(core)), " ")
 
 
 def long_tokens(address: Column) -> Column:
@@ -50,7 +50,7 @@ def long_tokens(address: Column) -> Column:
 
 
 def addr_sig(address: Column) -> Column:
-    return F.array_join(F.array_sort(long_tokens(address)), "_")
+    return F.array_join(F.sort_array(long_tokens(address)), "_")
 
 
 def num_any(address: Column) -> Column:
