@@ -26,6 +26,8 @@ HASH, WEIGHTS, REACH = 17, 1 << 25, 12
 EPOCHS, RATE, DECAY = 4, 0.25, 1e-6
 #: Languages whose counts are broadcast; more are joined by shuffle.
 BROADCAST_LANGS = 100_000
+#: Words after which forward and backward scores are normalised.
+NORMALISED = 8
 #: Sequences of a gradient step.
 BATCH = 16
 #: Every so many learning sequences, pieces of two languages are joined, so that switches are learned.
@@ -35,7 +37,7 @@ UNKNOWN = "und"
 #: Numbers in a padded forward-backward block, and in the memory of word emissions.
 _SLOTS, _REMEMBERED = 1_600_000, 800_000
 #: Bytes of text that are labelled at a time (one larger text goes alone).
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 2_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRIP = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»“”„‘’…–—¿¡"
@@ -102,18 +104,26 @@ class CRF:
         return self.table[found >> self.drop].sum(axis=-2)
 
     def _scan(self, emit: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Forward and backward scores and scaled emissions, each normalised a word; ``emit`` is (steps, texts, languages), padded."""
+        """Forward and backward scores and scaled emissions; ``emit`` is (steps, texts, languages), padded.
+
+        Scores of a word are right up to a factor; they are normalised every few words, long
+        before they could vanish.
+        """
         steps, n, k = emit.shape
         move = np.exp(self.move)
         scaled = np.exp(emit - emit.max(axis=2, keepdims=True))
         ahead, behind = np.empty_like(scaled), np.ones_like(scaled)
-        ahead[0] = scaled[0] / scaled[0].sum(axis=1, keepdims=True)
+        ahead[0] = scaled[0]
         for t in range(1, steps):
-            state = (ahead[t - 1] @ move) * scaled[t]
-            ahead[t] = state / state.sum(axis=1, keepdims=True)
+            np.matmul(ahead[t - 1], move, out=ahead[t])
+            ahead[t] *= scaled[t]
+            if t % NORMALISED == 0:
+                ahead[t] /= ahead[t].sum(axis=1, keepdims=True)
         for t in range(steps - 2, -1, -1):
-            back = (behind[t + 1] * scaled[t + 1]) @ move.T
-            behind[t] = np.where((t + 1 < length)[:, None], back / back.sum(axis=1, keepdims=True), 1.0)
+            np.matmul(behind[t + 1] * scaled[t + 1], move.T, out=behind[t])
+            if t % NORMALISED == 0:
+                behind[t] /= behind[t].sum(axis=1, keepdims=True)
+            behind[t, t + 1 >= length] = 1.0
         return ahead, behind, scaled
 
     def marginals(self, emit: np.ndarray, length: np.ndarray) -> np.ndarray:
